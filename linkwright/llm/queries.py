@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, toxicity
+from . import pii, quality, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return out.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     ratio = quality.fit_ratio(docs, _table(spark, sf_dir, "labels"))
@@ -29,6 +35,6 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op6_quality, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op5_repeats, op6_quality, op9_pii)}
 
 ORACLES: dict[str, str] = {}
