@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, suffix, toxicity
+from . import lshforest, pii, quality, spans, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lshforest.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix.remove_repeats(_table(spark, sf_dir, "documents"))
     removed = F.col("n_bytes") - F.octet_length("kept")
@@ -35,6 +39,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op5_repeats, op6_quality, op9_pii)}
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spans.remove_spans(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_sentences", "n_removed", F.length("kept").cast("long").alias("kept_chars"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op4_near_duplicates, op5_repeats, op6_quality, op9_pii, op10_sentence_spans)}
 
 ORACLES: dict[str, str] = {}
