@@ -173,10 +173,12 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     # the tries: classes under one prefix are hung to the least of them
     leaves = classes.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
     shared = leaves.groupBy("tree", "prefix").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = written(shared, "forest-prefixes")  # a plain scan, so that a hot prefix can be split in the join
     links = leaves.join(shared, ["tree", "prefix"]).select(F.col("node").alias("a"), "b")
     groups = connected_components(links, "forest-candidates")
     # exact verification, block by block
     n_blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    n_blocks = written(n_blocks, "forest-sizes")
     members = groups.join(n_blocks, "root").join(classes.select("node", "copies", "least"), "node")
     side = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
     members = written(members.select("node", "root", "copies", "n_blocks", side.alias("side"), F.col("least.doc_id").alias("doc_id")), "forest-members")
@@ -192,9 +194,9 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     named = classes.select("node", "copies", "least").join(found, "node", "left").join(n_links, "node", "left")
     named = named.select("node", "copies", "least", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     named = written(named, "forest-named")
-    keep = named.groupBy("root").agg(F.min("least").alias("keep"))
+    keep = written(named.groupBy("root").agg(F.min("least").alias("keep")), "forest-keep")
     named = named.join(keep, "root").select("node", (F.col("copies") - 1 + F.col("links")).alias("n_links"), "keep")
-    out = with_words.drop("prefixes").join(named, "node")
+    out = with_words.drop("prefixes").join(written(named, "forest-classes-named"), "node")
     out = out.select("doc_id", "tag", F.col("keep.doc_id").alias("class_id"), "n_links", (F.struct("doc_id", "tag") == F.col("keep")).alias("first"))
     alone = sig.filter("node = 0").select("doc_id", "tag", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("first"))
     return out.unionByName(alone)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lshforest, pii, quality, spans, suffix, toxicity
+from . import lshforest, pii, quality, spans, suffix, tokenbin, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, ratio)
 
 
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenbin.token_digest(tokenbin.tokens_of(_table(spark, sf_dir, "documents")))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,6 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_sentences", "n_removed", F.length("kept").cast("long").alias("kept_chars"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op4_near_duplicates, op5_repeats, op6_quality, op9_pii, op10_sentence_spans)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op4_near_duplicates, op5_repeats, op6_quality, op8_tokens, op9_pii, op10_sentence_spans)}
 
 ORACLES: dict[str, str] = {}

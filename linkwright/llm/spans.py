@@ -82,6 +82,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     spans = map_arrow(docs, make, "h long, doc_id long, at long")
     again = spans.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    again = written(again, "span-again")  # a plain scan, so that a frequent span's rows can be split in the join
     later = spans.join(again, "h").filter(F.struct("doc_id", "at") > F.col("first"))
     tag, place = F.col("at").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.shiftright("at", 31)
     return later.select("doc_id", tag.alias("tag"), place.alias("place")).groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))

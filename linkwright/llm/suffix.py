@@ -221,6 +221,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """doc_id, at of runs of suffixes that occur elsewhere; docs with doc_id, text and tag."""
     runs = _runs(docs)
     grams = runs.groupBy("m").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("n")).filter("n > 1")
+    grams = written(grams, "repeat-grams")  # a plain scan, so that a frequent gram's rows can be split in the join
     left = written(runs.join(grams, "m").select("m", "s", "doc_id", "at", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-runs")
     # round 2
     mixed = left.filter("mixed")
@@ -234,10 +235,11 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     rows = written(_refine(docs, one_each, _segments), "repeat-segments")
     n = F.sum(F.when(known, 2).otherwise(1)).alias("n")
     shared = rows.groupBy("k").agg(n, F.min("g").alias("lo"), F.max("g").alias("hi")).filter("n > 1")
+    shared = written(shared, "repeat-shared")
     rows = written(rows.join(shared, "k").select("k", "g", "doc_id", "at", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-open")
     found.append(rows.filter(~F.col("mixed") & ~known).select("doc_id", "at"))
     rows = written(_refine(docs, rows.filter("mixed").select("doc_id", "at", "k"), _singles), "repeat-singles")
-    equal = rows.groupBy("k", "g").agg(n).filter("n > 1").select("k", "g")
+    equal = written(rows.groupBy("k", "g").agg(n).filter("n > 1").select("k", "g"), "repeat-equal")
     found.append(rows.filter(~known).join(equal, ["k", "g"], "left_semi").select("doc_id", "at"))
     out = found[0]
     for x in found[1:]:
