@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lshforest, pii, quality, spans, suffix, tokenbin, toxicity
+from . import lshforest, pii, quality, spans, suffix, tokenbin, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.through_archives(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lshforest.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -48,6 +52,6 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_sentences", "n_removed", F.length("kept").cast("long").alias("kept_chars"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op4_near_duplicates, op5_repeats, op6_quality, op8_tokens, op9_pii, op10_sentence_spans)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_warc, op4_near_duplicates, op5_repeats, op6_quality, op8_tokens, op9_pii, op10_sentence_spans)}
 
 ORACLES: dict[str, str] = {}

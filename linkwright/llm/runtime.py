@@ -21,7 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="linkwright-")
         spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
