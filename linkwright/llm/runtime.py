@@ -65,8 +65,21 @@ def open_shared(uri: str, mode: str):
     return store.open_input_file(path)
 
 
+#: Bytes of an Arrow batch: it is held by the JVM, the Python worker and in between at once.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_BYTES, so that workers' memory doesn't follow the rows' length."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = spark.conf.get(key).rstrip("b")
+    if not have.isdigit() or int(have) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow for a function of one batch."""
+    bounded_batches(df.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -77,4 +90,5 @@ def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.Record
 
 def text_input(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text and the named columns, whatever else docs has; a null text is an empty one."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)

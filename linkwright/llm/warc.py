@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import fresh_path, open_shared, written
+from .runtime import bounded_batches, fresh_path, open_shared, written
 
 CHUNK = 1 << 20
 #: Uncompressed bytes after which a task starts its next archive.
@@ -269,6 +269,7 @@ def read_records(index: DataFrame) -> DataFrame:
 def through_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write pages as archives, normalise them, and read the records back by their index."""
     spark = pages.sparkSession
+    bounded_batches(spark)
     folder = fresh_path(spark, "warc")
     raw = write_archives(pages, f"{folder}/raw", min_bytes)
     archives = normalise(raw, folder)
