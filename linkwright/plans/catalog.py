@@ -1,6 +1,562 @@
-"""The library's queries and their SQL twins."""
+"""The library's queries, each with its SQL twin where SQL can express it.
+
+Unless a query is about the cosine channel, candidates are those of the token channel, and scores are the surrogate's.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import features as X
+from ..functions import lexicon as L
+from ..functions import similarity as S
+from ..functions import text as N
+from ..functions import tokens as T
+from ..operators import blocking as B
+from ..operators import metrics, pairs, resolve, validate, vectors
+from ..sources import tsv
+from ..sources.storage import fresh_path, written
+from . import linkage
+from . import twins as Q
+from .records import Records, er_records
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _joined(x):
+    return F.array_join(F.array_sort(x), "|")
+
+
+def _sorted(x: str) -> str:
+    return f"array_to_string(list_sort({x}), '|')"
+
+
+def _tokens_of(r: Records) -> DataFrame:
+    return B.token_candidates(r.s1, r.s23)
+
+
+def _scored(r: Records) -> DataFrame:
+    return linkage.scored_by_surrogate(_tokens_of(r), r.s1, r.s23)
+
+
+def _assigned(r: Records) -> DataFrame:
+    return resolve.resolve(_scored(r), linkage.SURROGATE_THRESHOLD)
+
+
+# --- sources and sinks ---
+
+
+@query(Q.sql("SELECT entity_id, business_name, business_address, country FROM rec", "rec"))
+def scan_sources(spark, sf_dir):
+    """The record sources written as tab-separated files and scanned again."""
+    path = fresh_path(spark, "sources")
+    tsv.write_records(er_records(spark, sf_dir), path)
+    return tsv.read_source(spark, path).drop("row_pos")
+
+
+@query(Q.sql("SELECT DISTINCT entity_id FROM rec WHERE entity_id <> ''", "rec"))
+def read_ids(spark, sf_dir):
+    path = fresh_path(spark, "ids")
+    tsv.write_records(er_records(spark, sf_dir), path)
+    return tsv.read_ids(spark, path)
+
+
+def _truth_file(spark, sf_dir) -> DataFrame:
+    """The truth of all S1 records written as a result file and scanned again."""
+    r, path = Records(spark, sf_dir), fresh_path(spark, "truth")
+    lists = resolve.matching_lists(r.s1, r.truth)
+    tsv.write_lists(lists, L.MATCHING_HEADER, path)
+    return tsv.read_truth(spark, path)
+
+
+@query(Q.sql("SELECT sid, cid FROM truth", "truth"))
+def truth_explode(spark, sf_dir):
+    return _truth_file(spark, sf_dir).select("sid", F.explode("cids").alias("cid"))
+
+
+@query(Q.sql("SELECT count(*) AS n_entities, count(DISTINCT truth.sid) AS n_with_match FROM (SELECT DISTINCT entity_id AS sid FROM s1) s LEFT JOIN (SELECT DISTINCT sid FROM truth) truth ON truth.sid = s.sid", "s1", "truth"))
+def truth_summary(spark, sf_dir):
+    return _truth_file(spark, sf_dir).agg(F.count("*").alias("n_entities"), F.count_if(F.size("cids") > 0).alias("n_with_match"))
+
+
+@query(Q.sql("SELECT source1_entity_id, matched_entity_ids FROM mat", "mat"))
+def matching_output(spark, sf_dir):
+    """Records to matching lists in one plan: normalise, block, score, resolve, list."""
+    r = Records(spark, sf_dir)
+    return resolve.matching_lists(r.s1, _assigned(r)).drop("row_pos")
+
+
+@query(Q.sql("SELECT source1_entity_id, candidate_entity_ids FROM can", "can"))
+def candidate_output(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    cands = _tokens_of(r)
+    return resolve.candidate_lists(r.s1, cands.withColumnRenamed("tok_rank", "rank"), _assigned(r)).drop("row_pos")
+
+
+@query(Q.sql("SELECT entity_id, business_name FROM rec ORDER BY row_pos LIMIT 100", "rec"))
+def sample_scan(spark, sf_dir):
+    """The first 100 records, which is what the operator is for."""
+    return er_records(spark, sf_dir).orderBy("row_pos").limit(100).select("entity_id", "business_name")
+
+
+# --- normalisation ---
+
+
+def _columns(spark, sf_dir, **cols) -> DataFrame:
+    return er_records(spark, sf_dir).select("entity_id", *[c.alias(k) for k, c in cols.items()])
+
+
+@query(Q.sql(r"SELECT entity_id, regexp_replace(strip_accents(business_name), '[^\x00-\x7F]', '', 'g') AS folded FROM rec", "rec"))
+def ascii_fold(spark, sf_dir):
+    return _columns(spark, sf_dir, folded=N.ascii_fold(F.col("business_name")))
+
+
+@query(Q.sql(f"SELECT entity_id, {Q.text('business_name')} AS normalized FROM rec", "rec"))
+def normalize_text(spark, sf_dir):
+    return _columns(spark, sf_dir, normalized=N.normalize_text(F.col("business_name")))
+
+
+@query(Q.sql("SELECT entity_id, name_norm FROM nrm", "nrm"))
+def normalize_name(spark, sf_dir):
+    return _columns(spark, sf_dir, name_norm=N.normalize_name(F.col("business_name")))
+
+
+@query(Q.sql("SELECT entity_id, addr_norm FROM nrm", "nrm"))
+def normalize_address(spark, sf_dir):
+    return _columns(spark, sf_dir, addr_norm=N.normalize_address(F.col("business_address")))
+
+
+@query(Q.sql("SELECT entity_id, country_norm FROM nrm", "nrm"))
+def normalize_country(spark, sf_dir):
+    return _columns(spark, sf_dir, country_norm=N.normalize_country(F.col("country")))
+
+
+@query(Q.sql("SELECT entity_id, name_norm, addr_norm, country_norm FROM nrm", "nrm"))
+def normalize_records(spark, sf_dir):
+    return Records(spark, sf_dir).all.drop("row_pos")
+
+
+# --- tokens, index, vectors ---
+
+
+@query(Q.sql(f"SELECT entity_id, {_sorted('name_tokens')} AS tokens FROM prt", "prt"))
+def name_tokens(spark, sf_dir):
+    return Records(spark, sf_dir).all.select("entity_id", _joined(T.name_tokens(F.col("name_norm"))).alias("tokens"))
+
+
+@query(Q.sql(f"SELECT entity_id, {_sorted('addr_tokens')} AS tokens FROM prt", "prt"))
+def address_tokens(spark, sf_dir):
+    return Records(spark, sf_dir).all.select("entity_id", _joined(T.address_tokens(F.col("addr_norm"))).alias("tokens"))
+
+
+@query(Q.sql(f"SELECT entity_id, {_sorted('name_grams')} AS grams FROM prt", "prt"))
+def char_ngrams(spark, sf_dir):
+    return Records(spark, sf_dir).all.select("entity_id", _joined(T.char_ngrams(F.col("name_norm"))).alias("grams"))
+
+
+@query(Q.sql(f"SELECT entity_id, {_sorted(Q.significant('name_norm', 'addr_norm'))} AS tokens FROM nrm", "nrm"))
+def sig_tokens(spark, sf_dir):
+    return Records(spark, sf_dir).all.select("entity_id", _joined(T.significant_tokens(F.col("name_norm"), F.col("addr_norm"))).alias("tokens"))
+
+
+@query(Q.sql("SELECT country_norm, token, cid, df FROM idx", "idx"))
+def token_index(spark, sf_dir):
+    return B.token_index(Records(spark, sf_dir).s23)
+
+
+@query(Q.sql("SELECT country_norm, entity_id, field, term, tf FROM grm", "grm"))
+def char_wb_ngrams(spark, sf_dir):
+    return vectors.gram_rows(Records(spark, sf_dir).all)
+
+
+@query(Q.sql("SELECT country_norm, field, term, df, n_docs FROM voc", "voc"))
+def tfidf_vocab(spark, sf_dir):
+    return vectors.vocabulary(vectors.fit_rows(Records(spark, sf_dir).all))
+
+
+@query(Q.sql("SELECT country_norm, entity_id, field, term, round(weight, 6) AS weight FROM tfi", "tfi"))
+def tfidf_weights(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return vectors.tfidf(r.all, vectors.vocabulary(vectors.fit_rows(r.all))).withColumn("weight", F.round("weight", 6))
+
+
+@query(Q.sql("SELECT country_norm, entity_id, field, term, round(weight, 6) AS weight FROM vec", "vec"))
+def record_vectors(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return vectors.record_vectors(r.all, vectors.vocabulary(vectors.fit_rows(r.all))).withColumn("weight", F.round("weight", 6))
+
+
+# --- pairwise similarities, of the token channel's candidates ---
+
+
+def _paired(spark, sf_dir) -> DataFrame:
+    r = Records(spark, sf_dir)
+    return X.paired(_tokens_of(r).select("sid", "cid"), r.s1, r.s23)
+
+
+def _set_query(name: str, feature, sql: str) -> None:
+    def run(spark, sf_dir):
+        return _paired(spark, sf_dir).select("sid", "cid", F.round(feature(), 6).alias("value"))
+
+    run.__name__ = name
+    query(Q.sql(f"SELECT sid, cid, round({sql}, 6) AS value FROM pr", "pr"))(run)
+
+
+def _set(name: str):
+    return lambda: X.set_features()[name]
+
+
+_set_query("jaccard", _set("name_jaccard"), Q.jaccard("ant", "bnt"))
+_set_query("containment", _set("name_contain_1in2"), Q.containment("ant", "bnt"))
+_set_query("length_ratio", _set("name_len_ratio"), Q.length_ratio("an", "bn"))
+_set_query("addr_num_jaccard", _set("addr_num_jaccard"), Q.jaccard("anum", "bnum"))
+
+
+SET_SQL = {
+    "country_match": "CASE WHEN ac = bc THEN 1.0 ELSE 0.0 END::DOUBLE",
+    "name_jaccard": Q.jaccard("ant", "bnt"), "name_contain_1in2": Q.containment("ant", "bnt"), "name_contain_2in1": Q.containment("bnt", "ant"),
+    "name_ngram_jaccard": Q.jaccard("ang", "bng"), "name_len_ratio": Q.length_ratio("an", "bn"),
+    "name_ntokens1": "len(ant)::DOUBLE", "name_ntokens2": "len(bnt)::DOUBLE",
+    "addr_jaccard": Q.jaccard("aat", "bat"), "addr_contain_1in2": Q.containment("aat", "bat"), "addr_contain_2in1": Q.containment("bat", "aat"),
+    "addr_ngram_jaccard": Q.jaccard("aag", "bag"), "addr_len_ratio": Q.length_ratio("aa", "ba"),
+    "addr_ntokens1": "len(aat)::DOUBLE", "addr_ntokens2": "len(bat)::DOUBLE",
+    "addr_num_jaccard": Q.jaccard("anum", "bnum"), "both_have_nums": "CASE WHEN len(anum) > 0 AND len(bnum) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE",
+}
+
+
+@query(Q.sql("SELECT sid, cid, " + ", ".join(f"round({v}, 6) AS {k}" for k, v in SET_SQL.items()) + " FROM pr", "pr"))
+def set_features(spark, sf_dir):
+    return _paired(spark, sf_dir).select("sid", "cid", *[F.round(c, 6).alias(k) for k, c in X.set_features().items()])
+
+
+def _edit_query(name: str, ratio: str) -> None:
+    def run(spark, sf_dir):
+        rows = _paired(spark, sf_dir)
+        out = rows.withColumns({"n": S.edit_ratios(F.col("a_name_norm"), F.col("b_name_norm"), ratio), "a": S.edit_ratios(F.col("a_addr_norm"), F.col("b_addr_norm"), ratio)})
+        return out.select("sid", "cid", F.round(f"n.{ratio}", 6).alias("name_value"), F.round(f"a.{ratio}", 6).alias("addr_value"))
+
+    run.__name__ = name
+    query()(run)
+
+
+for _name, _ratio in (("indel_ratio", "levenshtein"), ("token_sort_ratio", "token_sort"), ("token_set_ratio", "token_set"), ("partial_ratio", "partial")):
+    _edit_query(_name, _ratio)
+
+
+@query()
+def edit_features(spark, sf_dir):
+    return X.edit_features(_paired(spark, sf_dir)).select("sid", "cid", *[f"{f}_{r}" for f in ("name", "addr") for r in S.RATIOS])
+
+
+@query()
+def combined_features(spark, sf_dir):
+    return X.edit_features(_paired(spark, sf_dir)).withColumns(X.combined_features()).select("sid", "cid", *X.combined_features())
+
+
+@query()
+def pair_features(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return X.pair_features(_tokens_of(r).select("sid", "cid"), r.s1, r.s23)
+
+
+# --- candidates ---
+
+
+@query(Q.sql("SELECT coalesce(a.country_norm, b.country_norm) AS country_norm, coalesce(n_s1, 0)::BIGINT AS n_s1, coalesce(n_s23, 0)::BIGINT AS n_s23 FROM (SELECT country_norm, count(*) AS n_s1 FROM s1 GROUP BY 1) a FULL JOIN (SELECT country_norm, count(*) AS n_s23 FROM s23 GROUP BY 1) b ON a.country_norm = b.country_norm", "s1", "s23"))
+def country_partitions(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return B.country_partitions(r.s1, r.s23)
+
+
+@query(Q.sql("SELECT sid, cid, n_shared, tok_rank FROM tok", "tok"))
+def token_topk(spark, sf_dir):
+    return _tokens_of(Records(spark, sf_dir))
+
+
+def _cosine(spark, sf_dir) -> tuple[Records, DataFrame]:
+    r = Records(spark, sf_dir)
+    vocab = written(vectors.vocabulary(vectors.fit_rows(r.all)), "vocabulary")
+    return r, vectors.cosine_candidates(vectors.record_vectors(r.s1, vocab), vectors.record_vectors(r.s23, vocab))
+
+
+@query(Q.sql("SELECT sid, cid, score, cos_rank FROM cos", "cos"))
+def cosine_topk(spark, sf_dir):
+    return _cosine(spark, sf_dir)[1]
+
+
+@query(Q.sql("SELECT sid, cid, cos_rank, tok_rank, rank FROM uni", "uni"))
+def candidate_union(spark, sf_dir):
+    r, cosine = _cosine(spark, sf_dir)
+    return B.candidate_union(cosine, _tokens_of(r))
+
+
+@query(Q.sql("SELECT entity_id AS sid, coalesce(n, 0) AS n_candidates FROM s1 LEFT JOIN (SELECT sid, count(*) AS n FROM tok GROUP BY sid) ON sid = entity_id", "s1", "tok"))
+def candidates_per_entity(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return B.candidates_per_entity(r.s1, _tokens_of(r))
+
+
+@query(Q.sql("SELECT count(*) AS n_entities, sum(n)::BIGINT AS n_candidates, round(avg(n), 6) AS per_entity FROM (SELECT entity_id, count(sid) AS n FROM s1 LEFT JOIN tok ON sid = entity_id GROUP BY entity_id)", "s1", "tok"))
+def candidate_stats(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    each = B.candidates_per_entity(r.s1, _tokens_of(r))
+    return each.agg(F.count("*").alias("n_entities"), F.sum("n_candidates").alias("n_candidates"), F.round(F.avg("n_candidates"), 6).alias("per_entity"))
+
+
+@query(Q.sql("SELECT sid, cid FROM tok WHERE cid IN (SELECT entity_id FROM s23 WHERE name_norm <> '')", "tok", "s23"))
+def semi_existing(spark, sf_dir):
+    """Candidates whose record is in the store, here the records that have a name."""
+    r = Records(spark, sf_dir)
+    return B.existing(_tokens_of(r).select("sid", "cid"), r.s23.filter(F.col("name_norm") != ""))
+
+
+@query(Q.sql("SELECT sid, cid FROM sco WHERE is_exact", "sco"))
+def exact_matches(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return B.with_exact(_tokens_of(r), r.s1, r.s23).filter("is_exact").select("sid", "cid")
+
+
+@query(Q.sql("SELECT sid, cid FROM sco WHERE NOT is_exact", "sco"))
+def non_exact(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return B.with_exact(_tokens_of(r), r.s1, r.s23).filter("not is_exact").select("sid", "cid")
+
+
+_SPLIT = "SELECT sid, r <= floor(n * 0.15) AS is_validation FROM (SELECT sid, row_number() OVER (ORDER BY md5(sid), sid) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT sid FROM truth))"
+
+
+@query(Q.sql(_SPLIT, "truth"))
+def entity_split(spark, sf_dir):
+    return pairs.entity_split(Records(spark, sf_dir).truth)
+
+
+@query(Q.sql(f"SELECT entity_id, name_norm, is_validation FROM s1 JOIN ({_SPLIT}) ON sid = entity_id", "s1", "truth"))
+def split_records(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    split = pairs.entity_split(r.truth)
+    one = lambda held: r.s1.join(split.filter(F.col("is_validation") == held).select(F.col("sid").alias("entity_id")), "entity_id", "left_semi").select("entity_id", "name_norm", F.lit(held).alias("is_validation"))
+    return one(True).unionByName(one(False))
+
+
+@query(Q.sql("SELECT sid, cid, label FROM lab", "lab"))
+def label_pairs(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return pairs.label_pairs(_tokens_of(r).select("sid", "cid"), r.truth)
+
+
+@query(Q.sql("SELECT sid, cid, label FROM neg", "neg"))
+def hard_negatives(spark, sf_dir):
+    return pairs.hard_negatives(label_pairs(spark, sf_dir))
+
+
+@query(Q.sql("SELECT sid, cid, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(sid || '|' || cid), sid, cid) AS r, (SELECT least(20, count(*)) FROM neg WHERE label = 1) AS p FROM neg) WHERE (label = 1 AND r <= 20) OR (label = 0 AND r <= 100 - p)", "neg"))
+def pair_budget(spark, sf_dir):
+    """The budget operator, with a budget small enough to bind here."""
+    return pairs.pair_budget(hard_negatives(spark, sf_dir), 20, 100)
+
+
+# --- metrics ---
+
+
+@query(Q.sql("SELECT count(*) AS n_truth, count(tok.cid) AS n_found, CASE WHEN count(*) = 0 THEN 1.0 ELSE round(count(tok.cid)::DOUBLE / count(*), 6) END::DOUBLE AS recall FROM truth LEFT JOIN tok ON tok.sid = truth.sid AND tok.cid = truth.cid", "truth", "tok"))
+def blocking_recall(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return metrics.blocking_recall(r.truth, _tokens_of(r)).withColumn("recall", F.round("recall", 6))
+
+
+def _per_entity(spark, sf_dir) -> DataFrame:
+    r = Records(spark, sf_dir)
+    return metrics.f05_per_entity(r.s1.select(F.col("entity_id").alias("sid")), r.truth, _assigned(r))
+
+
+@query(Q.sql(f"SELECT sid, n_true, n_pred, n_hit, round({Q.f05('n_true', 'n_pred', 'n_hit')}, 6) AS f05 FROM ent", "ent"))
+def f05_per_entity(spark, sf_dir):
+    return _per_entity(spark, sf_dir).withColumn("f05", F.round("f05", 6))
+
+
+@query(Q.sql(f"SELECT count(*) AS n_entities, round(avg({Q.f05('n_true', 'n_pred', 'n_hit')}), 6) AS f05_macro FROM ent", "ent"))
+def f05_macro(spark, sf_dir):
+    return metrics.f05_macro(_per_entity(spark, sf_dir)).withColumn("f05_macro", F.round("f05_macro", 6))
+
+
+_GRID = ", ".join(f"({t}::DOUBLE)" for t in metrics.coarse_grid())
+
+
+@query(
+    Q.sql(
+        f"SELECT threshold, round(avg({Q.f05('n_true', 'n_pred', 'n_hit')}), 6) AS f05_macro FROM ("
+        "SELECT e.sid, g.threshold, coalesce(any_value(t.n), 0) AS n_true, count(b.cid) AS n_pred, count(h.cid) AS n_hit "
+        f"FROM (SELECT DISTINCT sid FROM tok) e CROSS JOIN (VALUES {_GRID}) g(threshold) LEFT JOIN (SELECT sid, count(*) AS n FROM truth GROUP BY sid) t ON t.sid = e.sid "
+        "LEFT JOIN bst b ON b.sid = e.sid AND b.p >= g.threshold LEFT JOIN truth h ON h.sid = b.sid AND h.cid = b.cid GROUP BY 1, 2) GROUP BY threshold",
+        "tok",
+        "bst",
+        "truth",
+    )
+)
+def threshold_sweep(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    cands = written(_tokens_of(r), "candidates")
+    assigned = written(resolve.best_per_candidate(linkage.scored_by_surrogate(cands, r.s1, r.s23)), "assigned")
+    swept = metrics.sweep(cands.select("sid").distinct(), r.truth, assigned, metrics.coarse_grid())
+    return swept.withColumn("f05_macro", F.round("f05_macro", 6))
+
+
+@query()
+def tuned_threshold(spark, sf_dir):
+    """The coarse and the fine search together."""
+    r = Records(spark, sf_dir)
+    cands = written(_tokens_of(r), "candidates")
+    assigned = written(resolve.best_per_candidate(linkage.scored_by_surrogate(cands, r.s1, r.s23)), "assigned")
+    best = metrics.tune_threshold(cands.select("sid").distinct(), r.truth, assigned)
+    return spark.createDataFrame([best], "threshold double, f05_macro double")
+
+
+@query(Q.sql("SELECT count(*) AS n_entities, count(*) FILTER (matched_entity_ids <> '') AS n_matched, count(*) FILTER (matched_entity_ids = '') AS n_singletons, sum(CASE WHEN matched_entity_ids = '' THEN 0 ELSE len(string_split(matched_entity_ids, ',')) END)::BIGINT AS n_matches FROM mat", "mat"))
+def match_summary(spark, sf_dir):
+    return metrics.match_summary(matching_output(spark, sf_dir))
+
+
+@query(Q.sql("SELECT count(*) FILTER (label = 1) AS n_positive, count(*) FILTER (label = 0) AS n_negative, round(greatest(0.1, count(*) FILTER (label = 0)::DOUBLE / greatest(count(*) FILTER (label = 1), 1)), 6) AS positive_weight FROM neg", "neg"))
+def class_balance(spark, sf_dir):
+    return metrics.class_balance(hard_negatives(spark, sf_dir)).withColumn("positive_weight", F.round("positive_weight", 6))
+
+
+@query(Q.sql("SELECT substr(entity_id, 1, 2) AS source, count(*) AS n FROM rec GROUP BY 1", "rec"))
+def source_counts(spark, sf_dir):
+    return er_records(spark, sf_dir).groupBy(F.substring("entity_id", 1, 2).alias("source")).agg(F.count("*").alias("n"))
+
+
+# --- model ---
+
+
+def _model(spark, sf_dir):
+    from ..operators import model
+
+    r = Records(spark, sf_dir)
+    sampled = pairs.hard_negatives(pairs.label_pairs(_tokens_of(r).select("sid", "cid"), r.truth))
+    features = written(X.pair_features(sampled, r.s1, r.s23, keep=("label",)), "features")
+    return features, model.train(features, maxIter=10, maxDepth=5)
+
+
+@query()
+def gbt_train_score(spark, sf_dir):
+    from ..operators import model
+
+    features, fitted = _model(spark, sf_dir)
+    return model.predict(fitted, features)
+
+
+@query()
+def feature_importance(spark, sf_dir):
+    from ..operators import model
+
+    return model.feature_importance(spark, _model(spark, sf_dir)[1])
+
+
+@query(Q.sql("SELECT sid, cid, p FROM sco", "sco"))
+def surrogate_score(spark, sf_dir):
+    return _scored(Records(spark, sf_dir)).select("sid", "cid", "p")
+
+
+# --- assignment ---
+
+
+@query(Q.sql("SELECT sid, cid, p, is_exact FROM bst", "bst"))
+def bipartite_resolve(spark, sf_dir):
+    return resolve.best_per_candidate(_scored(Records(spark, sf_dir)))
+
+
+@query(Q.sql("SELECT sid, cid, p FROM res", "res"))
+def threshold_filter(spark, sf_dir):
+    return _assigned(Records(spark, sf_dir)).select("sid", "cid", "p")
+
+
+# --- set operations ---
+
+
+@query(Q.sql("SELECT entity_id, name_norm FROM nrm WHERE entity_id LIKE 'S2-%' UNION ALL SELECT entity_id, name_norm FROM nrm WHERE entity_id LIKE 'S3-%'", "nrm"))
+def union_sources(spark, sf_dir):
+    rows = Records(spark, sf_dir).all.select("entity_id", "name_norm")
+    part = lambda p: rows.filter(F.col("entity_id").startswith(p))
+    return part("S2-").unionByName(part("S3-"))
+
+
+@query(Q.sql("SELECT sid, cid FROM truth INTERSECT SELECT sid, cid FROM tok", "truth", "tok"))
+def truth_intersect(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return r.truth.intersect(_tokens_of(r).select("sid", "cid"))
+
+
+@query(Q.sql("SELECT sid, cid FROM tok EXCEPT SELECT sid, cid FROM truth", "truth", "tok"))
+def truth_except(spark, sf_dir):
+    r = Records(spark, sf_dir)
+    return _tokens_of(r).select("sid", "cid").exceptAll(r.truth)
+
+
+# --- validator: the checks over lists that break the rules. documents make such lists: the source stands for the id ---
+
+_BROKEN = "SELECT source AS sid, string_split(regexp_replace(lang || ',S1-' || (doc_id % 7) || ',S2-' || (doc_id % 3) || ',S2-' || (doc_id % 5), 'S2-0', '', 'g'), ',') AS ids FROM documents"
+
+
+def _broken(spark, sf_dir) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ids = F.concat("lang", F.lit(",S1-"), F.col("doc_id") % 7, F.lit(",S2-"), F.col("doc_id") % 3, F.lit(",S2-"), F.col("doc_id") % 5)
+    return validate.split_lists(docs.select(F.col("source").alias("sid"), F.regexp_replace(ids, "S2-0", "").alias("list")))
+
+
+@query(f"SELECT sid, count(*) AS n FROM ({_BROKEN}) GROUP BY sid HAVING count(*) > 1")
+def validator_duplicates(spark, sf_dir):
+    return validate.duplicates(_broken(spark, sf_dir))
+
+
+_PROBLEMS = (
+    f"SELECT 'repeated id in a list' AS rule, sid, cid FROM (SELECT sid, r, cid FROM (SELECT sid, r, unnest(ids) AS cid FROM (SELECT *, row_number() OVER () AS r FROM ({_BROKEN}))) GROUP BY sid, r, cid HAVING count(*) > 1) "
+    f"UNION ALL SELECT 'S1 id in a list' AS rule, sid, cid FROM (SELECT sid, unnest(list_distinct(ids)) AS cid FROM ({_BROKEN})) WHERE cid LIKE 'S1-%' "
+    f"UNION ALL SELECT 'id without S2- or S3- prefix' AS rule, sid, cid FROM (SELECT sid, unnest(list_distinct(ids)) AS cid FROM ({_BROKEN})) WHERE NOT regexp_matches(cid, '^S[123]-')"
+)
+
+
+@query(_PROBLEMS)
+def validator_prefixes(spark, sf_dir):
+    return validate.row_problems(_broken(spark, sf_dir))
+
+
+@query(f"SELECT rule, count(DISTINCT cid) AS n, array_to_string(list_sort(list(DISTINCT cid))[1:5], ',') AS first FROM ({_PROBLEMS}) GROUP BY rule")
+def validator_examples(spark, sf_dir):
+    return validate.examples(validate.row_problems(_broken(spark, sf_dir)))
+
+
+@query(Q.sql("SELECT coalesce(s.sid, m.sid) AS sid, CASE WHEN m.sid IS NULL THEN 'missing' ELSE 'unexpected' END AS problem FROM (SELECT entity_id AS sid FROM s1) s FULL JOIN (SELECT DISTINCT sid FROM res UNION SELECT entity_id FROM s23 WHERE addr_norm = '') m ON m.sid = s.sid WHERE s.sid IS NULL OR m.sid IS NULL", "s1", "s23", "res"))
+def validator_coverage(spark, sf_dir):
+    """Lists that lack the S1 records without a match, and have rows for the S23 records without an address."""
+    r = Records(spark, sf_dir)
+    rows = _assigned(r).select("sid").union(r.s23.filter(F.col("addr_norm") == "").select("entity_id"))
+    return validate.coverage(rows.withColumn("ids", F.array().cast("array<string>")), r.s1)
+
+
+@query(Q.sql("SELECT sid, cid FROM res EXCEPT SELECT sid, cid FROM tok WHERE tok_rank <= 2", "res", "tok"))
+def validator_subset(spark, sf_dir):
+    """Matches that the two best candidates lack."""
+    r = Records(spark, sf_dir)
+    lists = lambda rows: rows.groupBy("sid").agg(F.collect_list("cid").alias("ids"))
+    return validate.not_candidates(lists(_assigned(r)), lists(_tokens_of(r).filter("tok_rank <= 2")))
+
+
+@query(Q.sql("SELECT count(*) AS n_rows, count(*) FILTER (matched_entity_ids = '') AS n_empty, count(*) FILTER (matched_entity_ids <> '') AS n_filled, sum(CASE WHEN matched_entity_ids = '' THEN 0 ELSE len(string_split(matched_entity_ids, ',')) END)::BIGINT AS n_ids FROM mat", "mat"))
+def validator_counts(spark, sf_dir):
+    rows = matching_output(spark, sf_dir)
+    return validate.counts(validate.split_lists(rows.select(F.col("source1_entity_id").alias("sid"), F.col("matched_entity_ids").alias("list"))))
