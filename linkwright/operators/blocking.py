@@ -46,7 +46,7 @@ def token_index(s23: DataFrame, min_df: int = L.MIN_DF, max_df: int = L.MAX_DF)
 
 def top(rows: DataFrame, key: str, order: list[Column], k: int, rank: str) -> DataFrame:
     """The first k rows of each key, with their rank. Spark cuts to k below the shuffle for this shape of filter."""
-    return rows.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col(rank) <= k)
+    return rows.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col(rank) <= k).withColumn(rank, F.col(rank).cast("long"))
 
 
 def token_candidates(s1: DataFrame, s23: DataFrame, k: int = L.TOP_TOKENS) -> DataFrame:
@@ -60,7 +60,7 @@ def candidate_union(cosine: DataFrame, tokens: DataFrame) -> DataFrame:
     """sid, cid, rank, cos_rank, tok_rank: the cosine channel in its order, then what only the token channel found."""
     both = cosine.select("sid", "cid", "cos_rank").join(tokens.select("sid", "cid", "tok_rank"), ["sid", "cid"], "full_outer")
     order = Window.partitionBy("sid").orderBy(F.asc_nulls_last("cos_rank"), F.asc_nulls_last("tok_rank"), "cid")
-    return both.withColumn("rank", F.row_number().over(order))
+    return both.withColumn("rank", F.row_number().over(order).cast("long"))
 
 
 def candidates_per_entity(s1: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -118,6 +118,7 @@ def cosine_candidates(v1: DataFrame, v23: DataFrame, k: int = L.TOP_COSINE) -> D
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     a = _packed(v1).join(grid, "country_norm").select("country_norm", "entity_id", "terms", "weights", block("n1").alias("i"), each("n2").alias("j"))
     b = _packed(v23).join(grid, "country_norm").select("country_norm", "entity_id", "terms", "weights", block("n2").alias("j"), each("n1").alias("i"))
+    a, b = a.toDF(*a.columns), b.toDF(*b.columns)  # both may come from one table
     keys = ["country_norm", "i", "j"]
     found = a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(_block_top(k), "sid string, cid string, score double")
     return top(found, "sid", [F.desc("score"), F.asc("cid")], k, "cos_rank")
