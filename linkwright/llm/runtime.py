@@ -1,49 +1,15 @@
-"""What the operators need from the session: the shared folder, written stages, file access."""
+"""What the operators need from the session: the shared folder, bounded batches, file access."""
 
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset
-    (tests in one process) a temporary one is made and set for the session."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="linkwright-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
-    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return store.makeQualified(path).toString().rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder; nothing is ever reused by name."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read back: cuts lineage and survives the loss
-    of any executor. Columns of type void become strings, which Parquet can hold."""
-    path = fresh_path(df.sparkSession, name)
-    df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t == "void"}).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def dropped(spark: SparkSession, path: str) -> None:
-    """Delete a path in the shared folder once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+from ..sources.storage import fresh_path, shared_dir, written  # noqa: F401
 
 
 def open_shared(uri: str, mode: str):
