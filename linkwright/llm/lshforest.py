@@ -33,7 +33,7 @@ THRESHOLD = 0.8
 TREES = 16
 DEPTH = 8
 TARGET = 0.999
-BLOCK = 512
+BLOCK = 256
 MAX_BROADCAST_IDS = 1_000_000
 _ROW_BITS = 20
 
