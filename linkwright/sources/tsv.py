@@ -45,16 +45,22 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return first.filter(F.col("entity_id").isNotNull() & (F.col("entity_id") != "")).distinct()
 
 
+def _write_lines(rows: DataFrame, header: tuple[str, ...], path: str) -> None:
+    """Lines as one unquoted column, whose name is the header of every file; nothing is trimmed."""
+    out = rows.withColumnRenamed("value", "\t".join(header)).write.mode("overwrite")
+    settings = {"header": "true", "quote": "", "sep": "\x01", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    out.options(**settings).csv(path)
+
+
 def write_lists(lists: DataFrame, header: tuple[str, str], path: str, single: bool = False) -> None:
     """Two columns (id, comma-separated list) with a header line. Files are in the order of row_pos; single gathers the
     output into one file for consumers that need it, which only fits results of moderate size."""
     rows = lists.orderBy("row_pos").select(F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in header]).alias("value"))
     rows = rows.coalesce(1) if single else rows
-    # a header that is a column name would be lost by write.text, so the lines are written as one unquoted csv column
-    rows.withColumnRenamed("value", "\t".join(header)).write.option("header", "true").option("quote", "").option("sep", "\x01").option("emptyValue", "").mode("overwrite").csv(path)
+    _write_lines(rows, header, path)
 
 
 def write_records(records: DataFrame, path: str) -> None:
     """Records as read_source reads them."""
     rows = records.select(F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in L.RECORD_COLUMNS]).alias("value"))
-    rows.withColumnRenamed("value", "\t".join(L.RECORD_COLUMNS)).write.option("header", "true").option("quote", "").option("sep", "\x01").option("emptyValue", "").mode("overwrite").csv(path)
+    _write_lines(rows, L.RECORD_COLUMNS, path)
