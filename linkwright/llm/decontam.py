@@ -22,7 +22,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import map_arrow, text_input, written
@@ -148,7 +148,7 @@ def coverage(documents: DataFrame, benchmark: DataFrame, limit: int = MAX_BROADC
     """doc_id, items (the ids covered to the threshold, ascending) and coverage (the most of any item) of every row."""
     index = _broadcast_index(benchmark, limit)
     if index is None:
-        return _coverage_by_join(documents, benchmark, threshold)
+        return _coverage_by_join(documents, benchmark, threshold).drop("key")
     schema = pa.schema([("doc_id", pa.int64()), ("items", pa.list_(pa.int64())), ("coverage", pa.float64())])
 
     def make(batch):
@@ -159,34 +159,43 @@ def coverage(documents: DataFrame, benchmark: DataFrame, limit: int = MAX_BROADC
     return map_arrow(text_input(documents), make, "doc_id long, items array<long>, coverage double")
 
 
+def _row_key() -> Column:
+    """A name for a row by its id and text, null or not."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
+
+
 def _coverage_by_join(documents: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
-    docs = text_input(documents).withColumn("tag", F.hash("text"))
+    """coverage() beyond what can be broadcast, with the key and tag of each row."""
+    docs = text_input(documents).withColumns({"key": _row_key(), "tag": F.hash("text")})
     items = _items(benchmark).withColumn("tag", F.hash("text"))
     item_seeds = written(_seeds(items, "item_id").withColumnRenamed("tag", "item_tag"), "bench-seeds")
-    pairs = _seeds(docs, "doc_id").join(item_seeds, "h").select("doc_id", "tag", "item_id", "item_tag").distinct()
+    pairs = _seeds(docs, "key").join(item_seeds, "h").select("key", "tag", "item_id", "item_tag").distinct()
     theirs = items.dropDuplicates().select("item_id", F.col("tag").alias("item_tag"), F.col("text").alias("item"))
-    work = pairs.join(theirs, ["item_id", "item_tag"]).join(docs.dropDuplicates(["doc_id", "tag"]), ["doc_id", "tag"])
-    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int32()), ("item_id", pa.int64()), ("coverage", pa.float64())])
+    work = pairs.join(theirs, ["item_id", "item_tag"]).join(docs.dropDuplicates(["key", "tag"]), ["key", "tag"])
+    schema = pa.schema([("key", pa.int64()), ("tag", pa.int32()), ("item_id", pa.int64()), ("coverage", pa.float64())])
 
     def make(batch):
         got = []
         for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
             index = Index([0], [item])
             got.append(max([0.0, *(c for _, c in index.coverages(pa.array([text], pa.string()))[0])]))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "tag", "item_id")), pa.array(got)], schema=schema)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "tag", "item_id")), pa.array(got)], schema=schema)
 
-    tiled = map_arrow(work.select("doc_id", "tag", "item_id", "item", "text"), make, "doc_id long, tag int, item_id long, coverage double")
-    each = tiled.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_set(F.when(F.col("coverage") >= threshold, F.col("item_id")))).alias("items"), F.max("coverage").alias("coverage"))
+    tiled = map_arrow(work.select("key", "tag", "item_id", "item", "text"), make, "key long, tag int, item_id long, coverage double")
+    each = tiled.groupBy("key", "tag").agg(F.array_sort(F.collect_set(F.when(F.col("coverage") >= threshold, F.col("item_id")))).alias("items"), F.max("coverage").alias("coverage"))
     none = F.array().cast("array<long>")
-    return docs.join(each, ["doc_id", "tag"], "left").select("doc_id", F.coalesce("items", none).alias("items"), F.coalesce("coverage", F.lit(0.0)).alias("coverage"))
+    return docs.join(each, ["key", "tag"], "left").select("key", "doc_id", F.coalesce("items", none).alias("items"), F.coalesce("coverage", F.lit(0.0)).alias("coverage"))
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, limit: int = MAX_BROADCAST_SEEDS, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of documents, all columns, that are not contaminated."""
     index = _broadcast_index(benchmark, limit)
     if index is None:
-        bad = written(_coverage_by_join(documents, benchmark, threshold).filter("size(items) > 0"), "bench-found").select(F.col("doc_id").alias("_id")).distinct()
-        return documents.join(bad, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+        key = "key"
+        while key in documents.columns:
+            key = f"_{key}"
+        bad = _coverage_by_join(documents, benchmark, threshold).filter("size(items) > 0").select(F.col("key").alias(key)).distinct()
+        return documents.withColumn(key, _row_key()).join(written(bad, "bench-found"), key, "left_anti").drop(key)
 
     def make(batch):
         pairs = index.value.coverages(batch.column("text"))

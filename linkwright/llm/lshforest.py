@@ -12,7 +12,7 @@ all words of a shorter text, as 44-bit hashes; a class is named by a 64-bit hash
 
 Defined cases: null, empty and wordless texts are linked to nothing, and each is its own class; texts of
 any length are read whole; repeated rows each give a row, and count as links of each other; the class id is
-the least doc_id of the class, whatever the ties; an empty table gives an empty one; other columns
+the least doc_id of the class, whatever the ties, and null only if no other; an empty table gives an empty one; other columns
 are ignored.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .runtime import map_arrow, text_input, written
+from .runtime import NO_ID, keyed_input, map_arrow, unkeyed, written
 from .textcore import WORDISH, U, Words, blocks, constants, splitmix, words
 
 SHINGLE = 5
@@ -72,10 +72,6 @@ def set_names(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.where(size > 0, h, U(0))
 
 
-def _tagged(documents: DataFrame) -> DataFrame:
-    return text_input(documents).withColumn("tag", F.hash("text"))
-
-
 def signatures(docs: DataFrame, depth: int) -> DataFrame:
     """doc_id, tag, node (the set's name) and the prefix names of all trees; none for wordless texts."""
     a, b = constants(TREES * depth, 7), constants(TREES * depth, 8)
@@ -165,7 +161,7 @@ def _verify(threshold: float):
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, tag (hash of the text), class_id, n_links (other rows whose similarity reaches the
     threshold) and first (this text is the one to keep of its class) of every row."""
-    docs = _tagged(documents)
+    docs = keyed_input(documents)
     sig = written(signatures(docs, prefix_length(threshold)), "forest-signatures")
     with_words = sig.filter("node <> 0")
     classes = with_words.groupBy("node").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "tag")).alias("least"), F.first("prefixes").alias("prefixes"))
@@ -199,12 +195,20 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     out = with_words.drop("prefixes").join(written(named, "forest-classes-named"), "node")
     out = out.select("doc_id", "tag", F.col("keep.doc_id").alias("class_id"), "n_links", (F.struct("doc_id", "tag") == F.col("keep")).alias("first"))
     alone = sig.filter("node = 0").select("doc_id", "tag", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("first"))
-    return out.unionByName(alone)
+    return unkeyed(out.unionByName(alone), "doc_id", "class_id")
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
     """The rows of documents, all columns, that stay: one of each class; of rows equal in id and text, one."""
-    keep = near_duplicates(documents).filter("first").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).distinct()
-    tag = F.hash(F.coalesce(F.col("text"), F.lit("")))
-    tagged = documents.withColumns({"_id": F.col("doc_id").cast("long"), "_tag": tag})
-    return tagged.join(keep, ["_id", "_tag"], "left_semi").dropDuplicates(["_id", "_tag"]).drop("_id", "_tag")
+    key, tag = (_free(documents, x) for x in ("key", "tag"))
+    first = near_duplicates(documents).filter("first").select(F.coalesce("doc_id", F.lit(NO_ID)).alias(key), F.col("tag").alias(tag)).distinct()
+    hashed = F.hash(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF))
+    tagged = documents.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), tag: hashed})
+    return tagged.join(first, [key, tag], "left_semi").dropDuplicates([key, tag]).drop(key, tag)
+
+
+def _free(df: DataFrame, name: str) -> str:
+    """name with underscores that no column of df has."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name

@@ -54,6 +54,26 @@ def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
+#: Stands for a null doc_id where ids are keys: null ids come after all others and match each other.
+NO_ID = (1 << 63) - 1
+
+
+def keyed_input(docs: DataFrame, bits: int = 0x7FFFFFFF) -> DataFrame:
+    """doc_id (never null), text (never null) and tag, so many bits of the text's hash."""
+    tag = F.hash("text").bitwiseAND(F.lit(bits)).cast("int")
+    return text_input(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("tag", tag)
+
+
+def unkeyed(df: DataFrame, *columns: str) -> DataFrame:
+    """df with null for NO_ID in the columns named."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in columns})
+
+
+def ids_of(batch: pa.RecordBatch):
+    """The doc_id column as int64; null ids as NO_ID."""
+    return batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
+
+
 def text_input(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text and the named columns, whatever else docs has; a null text is an empty one."""
     bounded_batches(docs.sparkSession)

@@ -7,7 +7,7 @@ in the corpus, the same text included, are joined globally by hash, and all sent
 but the first of them (least doc_id, then place) are removed.
 
 Defined cases: null and empty texts, and texts of fewer than SPAN sentences, are kept whole; texts of any
-length are read whole; rows with equal id and text count as one text and are treated alike; an empty
+length are read whole; rows with equal id and text count as one text and are treated alike; null ids come last; an empty
 table gives an empty one; other columns are ignored.
 """
 
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import map_arrow, text_input, written
+from .runtime import keyed_input, map_arrow, unkeyed, written
 from .textcore import WORDISH, U, Block, blocks, constants, splitmix, words
 
 SPAN = 3
@@ -58,10 +58,6 @@ class Sentences:
         return h, at
 
 
-def _tagged(documents: DataFrame) -> DataFrame:
-    return text_input(documents).withColumn("tag", F.hash("text").bitwiseAND(F.lit(0x7FFFFFFF)))
-
-
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, tag, places: the first sentences of the spans of a text that are not the first of their
     kind. docs has doc_id, text and tag."""
@@ -90,7 +86,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 def remove_spans(documents: DataFrame) -> DataFrame:
     """doc_id, n_sentences, n_removed and kept (the text without the removed sentences) of every row."""
-    docs = _tagged(documents)
+    docs = keyed_input(documents)
     found = written(repeated_spans(docs), "span-places")
     schema = pa.schema([("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
@@ -123,7 +119,7 @@ def remove_spans(documents: DataFrame) -> DataFrame:
     ids = F.broadcast(ids) if found.count() <= MAX_BROADCAST_IDS else ids
     clean = docs.join(ids, "doc_id", "left_anti")
     touched = docs.join(ids, "doc_id", "left_semi").join(found, ["doc_id", "tag"], "left")
-    return map_arrow(clean, cut, out).unionByName(map_arrow(touched, cut, out))
+    return unkeyed(map_arrow(clean, cut, out).unionByName(map_arrow(touched, cut, out)), "doc_id")
 
 
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)

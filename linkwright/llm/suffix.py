@@ -21,7 +21,7 @@ two suffixes that already agree in another 64-bit name.
 
 Defined cases: a null or empty text has no bytes and nothing removed; texts shorter than LENGTH keep
 everything; matches never cross texts; rows with equal id and equal text are separate texts, so that both
-lose all they share; a text longer than PIECE is named piece by piece; an empty table gives an empty one;
+lose all they share; a null id is an id like any other; a text longer than PIECE is named piece by piece; an empty table gives an empty one;
 other columns are ignored.
 """
 
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import map_arrow, text_input, written
+from .runtime import keyed_input, map_arrow, unkeyed, written
 from .textcore import Block, U, blocks, splitmix
 
 LENGTH = 200
@@ -124,10 +124,6 @@ def _unpack(at: np.ndarray):
     return (at & ~_TWICE) >> 32, (at >> 16) & 0xFFFF, (at >> 8) & 0xFF, at & 0xFF, (at & _TWICE) != 0
 
 
-def _tagged(documents: DataFrame) -> DataFrame:
-    return text_input(documents).withColumn("tag", F.hash("text").bitwiseAND(F.lit(0xFFFF)).cast("int"))
-
-
 def _runs(docs: DataFrame) -> DataFrame:
     """Round 1: every phrase with the names of its gram (m) and of itself (s)."""
     schema = pa.schema([("m", pa.int64()), ("s", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
@@ -250,7 +246,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (array of start, end in bytes, the maximal removed runs) and kept (the other
     bytes) of every row."""
-    docs = _tagged(documents)
+    docs = keyed_input(documents, 0xFFFF)
     lists = written(_lists(repeated_runs(docs)), "repeat-found")
     n = lists.count()
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
@@ -277,4 +273,4 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     else:
         clean = docs.join(lists, ["doc_id", "tag"], "left_anti")
     changed = map_arrow(_touched(docs, lists, n), cut, f"doc_id long, n_bytes long, spans {kind}, kept binary")
-    return clean.select("doc_id", *whole).unionByName(changed)
+    return unkeyed(clean.select("doc_id", *whole).unionByName(changed), "doc_id")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import map_arrow, text_input
+from .runtime import ids_of, map_arrow, text_input
 from .textcore import U, WORDISH, Words, blocks, splitmix, words
 
 BUCKETS = 1 << 20
@@ -84,7 +84,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, how: Ftrl = Ftrl(), max_tra
 
     def rows(batch):
         ids, toxic, place = chosen.value
-        own = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        own = ids_of(batch)
         out = [[], [], []]
         at = np.flatnonzero(np.isin(own, ids)) if len(ids) else []
         if len(at):
