@@ -4,7 +4,7 @@ Texts with equal shingle sets form a class, and only classes are joined. Each of
 classes' signatures, sorted by prefix; matched prefixes are shortened from DEPTH on until the chance that a
 pair at the threshold shares a prefix in some trie reaches TARGET. Classes that share a prefix are
 linked to the least of them, and the components of those links are the candidate groups. Within a group all
-pairs are verified exactly from the shingle sets, in blocks of BLOCK classes, by matrix products; a task
+pairs are verified exactly from the shingle sets, in blocks of BLOCK to MAX_BLOCK classes, by matrix products; a task
 returns sums and spanning links, never the pairs. No bucket, group or partner list is capped.
 
 Words are lower-cased runs of letters, digits and underscores; shingles are runs of SHINGLE words, or
@@ -33,7 +33,8 @@ THRESHOLD = 0.8
 TREES = 16
 DEPTH = 8
 TARGET = 0.999
-BLOCK = 256
+#: Classes of a block, by the group's size: blocks of small groups are small, so that cells spread evenly.
+BLOCK, MAX_BLOCK, BLOCKS = 128, 512, 32
 MAX_BROADCAST_IDS = 1_000_000
 _ROW_BITS = 20
 
@@ -173,7 +174,9 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     links = leaves.join(shared, ["tree", "prefix"]).select(F.col("node").alias("a"), "b")
     groups = connected_components(links, "forest-candidates")
     # exact verification, block by block
-    n_blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    size = F.count("*")
+    block = F.least(F.lit(MAX_BLOCK), F.greatest(F.lit(BLOCK), size / BLOCKS))
+    n_blocks = groups.groupBy("root").agg(F.ceil(size / block).cast("int").alias("n_blocks"))
     n_blocks = written(n_blocks, "forest-sizes")
     members = groups.join(n_blocks, "root").join(classes.select("node", "copies", "least"), "node")
     side = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")

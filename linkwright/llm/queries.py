@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lshforest, mixing, pii, quality, spans, suffix, tokenbin, toxicity, warc
+from . import decontam, lshforest, mixing, oracles, pii, quality, spans, suffix, tokenbin, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,38 +68,8 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_warc, op3_decontamination, op4_near_duplicates, op5_repeats, op6_quality, op7_mixing, op8_tokens, op9_pii, op10_sentence_spans)}
 
 ORACLES: dict[str, str] = {
-    "op7_mixing": r"""
-WITH RECURSIVE d AS (
-  SELECT doc_id, source, greatest(1, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS n_tokens FROM documents
-), s AS (
-  SELECT source, sum(n_tokens)::BIGINT AS n_source FROM d GROUP BY source
-), t AS (
-  SELECT sum(n_source)::BIGINT AS total, count(*) AS n, list(n_source ORDER BY n_source) AS each FROM s
-), p AS (
-  SELECT total, n, list_transform(each, lambda x: x::DOUBLE / total) AS shares FROM t
-), own AS (
-  SELECT *, -list_sum(list_transform(shares, lambda x: x * ln(x))) AS h FROM p
-), bisect AS (
-  SELECT 0 AS step, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
-  UNION ALL
-  SELECT step + 1, CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END FROM (
-    SELECT step, lo, hi, (lo + hi) / 2 AS mid,
-      ln(list_sum(list_transform(shares, lambda x: pow(x, (lo + hi) / 2))))
-      - list_sum(list_transform(shares, lambda x: pow(x, (lo + hi) / 2) * ln(pow(x, (lo + hi) / 2)))) / list_sum(list_transform(shares, lambda x: pow(x, (lo + hi) / 2)))
-      >= h + 0.5 * (ln(n) - h) - 1e-12 AS ok
-    FROM bisect, own WHERE step < 45)
-), a AS (
-  SELECT round(lo, 9) AS alpha FROM bisect WHERE step = 45
-), w AS (
-  SELECT source, n_source, alpha, total, round(pow(n_source::DOUBLE / total, alpha) / (SELECT sum(pow(x, alpha)) FROM (SELECT unnest(shares) AS x FROM own), a), 9) AS weight
-  FROM s, a, t
-), q AS (
-  SELECT source, n_source, alpha, weight, round(weight * total)::BIGINT AS quota FROM w
-), o AS (
-  SELECT d.doc_id, d.source, d.n_tokens, alpha, weight, quota, n_source,
-    coalesce(sum(d.n_tokens) OVER (PARTITION BY d.source ORDER BY md5('mix:' || d.doc_id::VARCHAR), d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
-  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
-)
-SELECT doc_id, source, n_tokens, alpha, weight, quota, place, CASE WHEN quota > place THEN (quota - place + n_source - 1) // n_source ELSE 0 END::BIGINT AS n_copies FROM o
-""",
+    "op2_warc": oracles.OP2_WARC,
+    "op4_near_duplicates": oracles.OP4_NEAR_DUPLICATES,
+    "op5_repeats": oracles.OP5_REPEATS,
+    "op7_mixing": oracles.OP7_MIXING,
 }

@@ -24,7 +24,7 @@ def rows_of(df, *cols):
 # --- 4: near duplicates ---
 
 
-@pytest.mark.parametrize("block", [3, 256])
+@pytest.mark.parametrize("block", [3, 128])
 def test_near_duplicates(docs_of, corpus, monkeypatch, block):
     monkeypatch.setattr(lshforest, "BLOCK", block)
     got = rows_of(lshforest.near_duplicates(docs_of(corpus, clash=True)), "doc_id", "class_id", "n_links")

@@ -88,10 +88,11 @@ def test_queries_return_their_columns(spark, sf_dir, name):
     assert len(rows) == n and df.dtypes[0][1] == "bigint"
 
 
-def test_mixing_equals_its_sql(spark, sf_dir):
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_equals_its_sql(spark, sf_dir, name):
     from tests.test_linkage import same
 
-    same(spark, sf_dir, queries.QUERIES["op7_mixing"], queries.ORACLES["op7_mixing"])
+    same(spark, sf_dir, queries.QUERIES[name], queries.ORACLES[name])
 
 
 def test_held_out_accuracy(spark):
