@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
@@ -97,8 +97,13 @@ def examples(rows: DataFrame) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame | None:
+    """value and line (from 0) of a file. Tasks number their own lines; what comes before a task is added from a table
+    of one row a task."""
     try:
-        return spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+        rows = spark.read.text(path).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+        sums = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+        before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        return rows.join(F.broadcast(sums.select("_part", before.alias("_before"))), "_part").select("value", (F.col("_at") + F.col("_before")).alias("line"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None

@@ -15,8 +15,8 @@ from ..functions import lexicon as L
 from ..functions import tokens as T
 from .blocking import top
 
-#: Records of a block; two blocks meet in one task.
-ROWS_S1, ROWS_S23 = 512, 4096
+#: Records of a block; two blocks meet in one task. A block of S23 holds about 100 MB of terms and weights.
+ROWS_S1, ROWS_S23 = 4096, 65_536
 
 
 def gram_rows(records: DataFrame) -> DataFrame:
@@ -71,46 +71,55 @@ def _packed(v: DataFrame) -> DataFrame:
     return v.groupBy("country_norm", "entity_id").agg(F.collect_list(F.xxhash64("field", "term")).alias("terms"), F.collect_list("weight").alias("weights"))
 
 
-def _dense(part: pd.DataFrame, terms: np.ndarray) -> np.ndarray:
+def _flat(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Terms, weights, and the offsets of the rows."""
     size = part["terms"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(part)), size)
-    t, w = np.concatenate(part["terms"].to_list()), np.concatenate(part["weights"].to_list())
-    at = np.searchsorted(terms, t)
-    at[at == len(terms)] = 0
-    hit = terms[at] == t
-    out = np.zeros((len(part), len(terms)))
-    out[row[hit], at[hit]] = w[hit]
-    return out
+    return np.concatenate(part["terms"].to_list()), np.concatenate(part["weights"].to_list()), np.concatenate([[0], np.cumsum(size)])
 
 
 def _block_top(k: int):
+    """The sparse product of two blocks, one row at a time over the right block's inverted index; its best k a row."""
+
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"sid": pd.Series(dtype=str), "cid": pd.Series(dtype=str), "score": pd.Series(dtype=float)})
         if left.empty or right.empty:
-            return none
+            return pd.DataFrame({"sid": pd.Series(dtype=str), "cid": pd.Series(dtype=str), "score": pd.Series(dtype=float)})
         right = right.sort_values("entity_id")
-        terms = np.intersect1d(np.concatenate(left["terms"].to_list()), np.concatenate(right["terms"].to_list()))
-        if not len(terms):
-            return none
-        score = np.zeros((len(left), len(right)))
-        for lo in range(0, len(terms), 2048):
-            some = terms[lo : lo + 2048]
-            score += _dense(left, some) @ _dense(right, some).T
-        score = np.round(score, 6)
-        sids, cids, out = left["entity_id"].to_numpy(), right["entity_id"].to_numpy(), []
-        for i, row in enumerate(score):
-            at = np.flatnonzero(row > 0)
-            at = at[np.argsort(-row[at], kind="stable")[:k]]
-            out.append(pd.DataFrame({"sid": sids[i], "cid": cids[at], "score": row[at]}))
-        return pd.concat(out)
+        n, cids, sids = len(right), right["entity_id"].to_numpy(), left["entity_id"].to_numpy()
+        term, weight, off = _flat(right)
+        order = np.argsort(term, kind="stable")
+        term, weight, row = term[order], weight[order], np.repeat(np.arange(n), np.diff(off))[order]
+        known, first = np.unique(term, return_index=True)
+        first = np.append(first, len(term))
+        own, own_weight, off = _flat(left)
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        shared = known[at] == own
+        out_sid, out_cid, out_score = [], [], []
+        for i in range(len(left)):
+            mine = slice(off[i], off[i + 1])
+            t, w = at[mine][shared[mine]], own_weight[mine][shared[mine]]
+            if not len(t):
+                continue
+            size = first[t + 1] - first[t]
+            where = np.arange(size.sum()) + np.repeat(first[t] - (np.cumsum(size) - size), size)
+            score = np.round(np.bincount(row[where], weights=weight[where] * np.repeat(w, size), minlength=n), 6)
+            hit = np.flatnonzero(score > 0)
+            if len(hit) > k:  # all that reach the k-th score, so that ties are cut by id alone
+                hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[len(hit) - k]]
+            hit = hit[np.argsort(-score[hit], kind="stable")[:k]]
+            out_sid.append(np.repeat(sids[i], len(hit)))
+            out_cid.append(cids[hit])
+            out_score.append(score[hit])
+        join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
+        return pd.DataFrame({"sid": join(out_sid, object), "cid": join(out_cid, object), "score": join(out_score, float)})
 
     return best
 
 
 def cosine_candidates(v1: DataFrame, v23: DataFrame, k: int = L.TOP_COSINE) -> DataFrame:
     """sid, cid, score (to 6 digits), cos_rank: the k records of the same country with the greatest cosine above 0; ties by
-    cid. Every block of S1 meets every block of S23 of its country in a matrix product that gives back only its best
-    k a row. The number of blocks follows the country's size; a block never grows."""
+    cid. Every block of S1 meets every block of S23 of its country in a sparse product that gives back only its best
+    k a row, so what is shuffled is each side once for each block of the other, and k rows a product; the scores
+    themselves never leave a task. The number of blocks follows the country's size; a block never grows."""
     n1 = v1.groupBy("country_norm").agg(F.ceil(F.count_distinct("entity_id") / ROWS_S1).cast("int").alias("n1"))
     n2 = v23.groupBy("country_norm").agg(F.ceil(F.count_distinct("entity_id") / ROWS_S23).cast("int").alias("n2"))
     grid = n1.join(n2, "country_norm")

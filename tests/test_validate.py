@@ -66,3 +66,24 @@ def test_warnings(run):
     assert r.passed and "aren't candidates" in r.warnings[0]
     r = run(GOOD, None)
     assert r.passed and "no candidate file" in r.warnings[0]
+
+
+def test_line_numbers_across_tasks(spark, run):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        r = run(GOOD + "".join(f"S1-{i}\t\n" for i in range(10, 60)) + "broken\n" + "S1-60\t\n")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert any("1 rows without a tab, in lines [54]" in e for e in r.errors), r
+
+
+def test_command_line(run, tmp_path, capsys):
+    from linkwright.cli import main
+
+    args = ["validate", "--matching", str(tmp_path / "m.tsv"), "--candidate", str(tmp_path / "c.tsv"), "--test-dir", str(tmp_path), "--check-ids"]
+    run(GOOD)
+    assert main(args) == 0 and "PASS" in capsys.readouterr().out
+    (tmp_path / "m.tsv").write_bytes(GOOD.encode() + b"S1-2\tS2-\xff\n")
+    assert main(args) == 1 and "UTF-8" in capsys.readouterr().out
