@@ -120,7 +120,7 @@ def check_file(spark: SparkSession, path: str, header: tuple[str, str], label: s
     if head is None or not head["value"].strip():
         report.errors.append(f"{label}: the file is empty")
         return None
-    if "�" in (head["value"] or "") or lines.filter(F.col("value").contains("�")).head(1):
+    if lines.filter(~F.is_valid_utf8("value")).head(1):
         report.errors.append(f"{label}: the file isn't UTF-8")
         return None
     names = [x.strip().lower() for x in head["value"].lstrip("﻿").split("\t")]
