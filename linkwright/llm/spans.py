@@ -22,7 +22,7 @@ from .runtime import keyed_input, map_arrow, unkeyed, written
 from .textcore import WORDISH, U, Block, blocks, constants, splitmix, words
 
 SPAN = 3
-LONGEST = 16
+LONGEST = 12
 MAX_BROADCAST_IDS = 1_000_000
 
 _ENDS = np.zeros(256, bool)

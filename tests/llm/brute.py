@@ -74,7 +74,7 @@ def quality_base(text):
     return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit), n < 50 or 100 * len(hit) > 50 * n
 
 
-def sentences(text, longest=16):
+def sentences(text, longest=12):
     out = []
     for s in re.split(r"[.!?\n]", (text or "").lower()):
         w = LOWER_WORD.findall(s)
