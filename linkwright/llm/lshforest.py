@@ -34,7 +34,7 @@ TREES = 16
 DEPTH = 8
 TARGET = 0.999
 #: Classes of a block, by the group's size: blocks of small groups are small, so that cells spread evenly.
-BLOCK, MAX_BLOCK, BLOCKS = 128, 512, 32
+BLOCK, MAX_BLOCK, BLOCKS = 256, 512, 32
 MAX_BROADCAST_IDS = 1_000_000
 _ROW_BITS = 20
 
@@ -97,13 +97,24 @@ def signatures(docs: DataFrame, depth: int) -> DataFrame:
     return map_arrow(docs, make, "doc_id long, tag int, node long, prefixes array<long>")
 
 
+def packed(sets: np.ndarray) -> bytes:
+    """Shingles of 44 bits in six bytes each, which is what verification shuffles most of."""
+    return sets.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _sets(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def make(batch):
         for blk in blocks(batch.column("text"), lower=True):
             sets, off = shingle_sets(words(blk, WORDISH), blk.rows)
-            parts = [sets[off[i] : off[i + 1]].tobytes() for i in range(blk.rows)]
+            parts = [packed(sets[off[i] : off[i + 1]]) for i in range(blk.rows)]
             yield pa.RecordBatch.from_arrays([pa.array(set_names(sets, off).view(np.int64)), pa.array(parts, pa.binary())], schema=schema)
 
     return map_arrow(docs, make, "node long, shingles binary")
@@ -135,7 +146,7 @@ def _verify(threshold: float):
     def check(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates("node").sort_values("node")
         node, side, weight = part["node"].to_numpy(), part["side"].to_numpy(), part["copies"].to_numpy()
-        sets = [np.frombuffer(s, U) for s in part["shingles"]]
+        sets = [unpacked(s) for s in part["shingles"]]
         size = np.array([len(s) for s in sets], np.float64)
         every = np.arange(len(node))
         rows, cols = (every, every) if key[1] == key[2] else (every[side == key[1]], every[side == key[2]])
