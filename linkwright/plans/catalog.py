@@ -243,6 +243,9 @@ def set_features(spark, sf_dir):
     return _paired(spark, sf_dir).select("sid", "cid", *[F.round(c, 6).alias(k) for k, c in X.set_features().items()])
 
 
+EDIT = [f"{f}_{r}" for f in ("name", "addr") for r in S.RATIOS]
+
+
 def _edit_query(name: str, ratio: str) -> None:
     def run(spark, sf_dir):
         rows = _paired(spark, sf_dir)
@@ -250,27 +253,30 @@ def _edit_query(name: str, ratio: str) -> None:
         return out.select("sid", "cid", F.round(f"n.{ratio}", 6).alias("name_value"), F.round(f"a.{ratio}", 6).alias("addr_value"))
 
     run.__name__ = name
-    query()(run)
+    query(Q.sql(f"SELECT sid, cid, round(name_{ratio}, 6) AS name_value, round(addr_{ratio}, 6) AS addr_value FROM rat", "rat"))(run)
 
 
 for _name, _ratio in (("indel_ratio", "levenshtein"), ("token_sort_ratio", "token_sort"), ("token_set_ratio", "token_set"), ("partial_ratio", "partial")):
     _edit_query(_name, _ratio)
 
 
-@query()
+@query(Q.sql("SELECT sid, cid, " + ", ".join(f"round({c}, 6) AS {c}" for c in EDIT) + " FROM rat", "rat"))
 def edit_features(spark, sf_dir):
-    return X.edit_features(_paired(spark, sf_dir)).select("sid", "cid", *[f"{f}_{r}" for f in ("name", "addr") for r in S.RATIOS])
+    return X.edit_features(_paired(spark, sf_dir)).select("sid", "cid", *[F.round(c, 6).alias(c) for c in EDIT])
 
 
-@query()
+@query(Q.sql("SELECT sid, cid, round(name_avg_sim, 6) AS name_avg_sim, round(addr_avg_sim, 6) AS addr_avg_sim, round(name_addr_interaction, 6) AS name_addr_interaction, round(min_name_addr, 6) AS min_name_addr FROM cmb", "cmb"))
 def combined_features(spark, sf_dir):
-    return X.edit_features(_paired(spark, sf_dir)).withColumns(X.combined_features()).select("sid", "cid", *X.combined_features())
+    out = X.edit_features(_paired(spark, sf_dir)).withColumns(X.combined_features())
+    return out.select("sid", "cid", *[F.round(c, 6).alias(c) for c in X.combined_features()])
 
 
-@query()
+@query(Q.sql("SELECT pr.sid, pr.cid, " + ", ".join(f"round(({SET_SQL[c] if c in SET_SQL else f'cmb.{c}'})::FLOAT::DOUBLE, 5) AS {c}" for c in L.FEATURES) + " FROM pr JOIN cmb ON cmb.sid = pr.sid AND cmb.cid = pr.cid", "pr", "cmb"))
 def pair_features(spark, sf_dir):
+    """All 29 values. They are floats; as doubles of 5 digits they can be compared."""
     r = Records(spark, sf_dir)
-    return X.pair_features(_tokens_of(r).select("sid", "cid"), r.s1, r.s23)
+    out = X.pair_features(_tokens_of(r).select("sid", "cid"), r.s1, r.s23)
+    return out.select("sid", "cid", *[F.round(F.col(c).cast("double"), 5).alias(c) for c in L.FEATURES])
 
 
 # --- candidates ---

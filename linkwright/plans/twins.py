@@ -126,3 +126,62 @@ def sql(select: str, *needs: str) -> str:
     for n in needs:
         add(n)
     return ("WITH " + ",\n".join(f"{c} AS MATERIALIZED ({CTES[c][1]})" for c in order) + "\n" if order else "") + select
+
+
+# --- edit ratios: the longest common subsequence, bit-parallel in 128-bit integers ---
+
+
+def masks(a: str, b: str) -> str:
+    """For each character of b, the set of its places in a as bits."""
+    return f"list_transform(string_split({b}, ''), lambda c: coalesce(list_sum(list_transform(range(0, len({a})), lambda i: CASE WHEN substr({a}, i + 1, 1) = c THEN 1::HUGEINT << i::INTEGER ELSE 0::HUGEINT END)), 0)::HUGEINT)"
+
+
+def lcs(found: str, m: str) -> str:
+    """Of a string of m characters with the one whose masks are found."""
+    full = f"((1::HUGEINT << ({m})::INTEGER) - 1)"
+    return f"(({m}) - bit_count(list_reduce({found}, lambda s, u: ((s + (s & u)) | (s - (s & u))) & {full}, {full})))"
+
+
+def _partial(s: str, t: str, found: str) -> str:
+    part = f"{found}[greatest(0, k) + 1:least(len({t}), k + len({s}))]"
+    size = f"(least(len({t}), k + len({s})) - greatest(0, k))"
+    return f"list_max(list_transform(range(1 - len({s}), len({t})), lambda k: 2.0::DOUBLE * {lcs(part, f'len({s})')} / (len({s}) + {size})))"
+
+
+def _set_parts(x: str, y: str) -> tuple[str, str, str]:
+    a, b = (f"list_filter(list_distinct(string_split({v}, ' ')), lambda t: t <> '')" for v in (x, y))
+    minus = lambda p, q: f"array_to_string(list_sort(list_filter({p}, lambda t: NOT list_contains({q}, t))), ' ')"
+    return minus(a, b), minus(b, a), f"array_to_string(list_sort(list_intersect({a}, {b})), ' ')"
+
+
+def _edit_ctes() -> None:
+    first, second, third = ["sid", "cid"], ["*"], ["sid", "cid"]
+    for f, x, y in (("n", "an", "bn"), ("a", "aa", "ba")):
+        ab, ba, sect = _set_parts(x, y)
+        joined = lambda v: f"array_to_string(list_sort(string_split({v}, ' ')), ' ')"
+        short, long = (f"CASE WHEN len({x}) <= len({y}) THEN {p} ELSE {q} END" for p, q in ((x, y), (y, x)))
+        first += [f"{x} AS x_{f}", f"{y} AS y_{f}", f"{short} AS s_{f}", f"{long} AS t_{f}", f"{joined(x)} AS p_{f}", f"{joined(y)} AS q_{f}", f"{ab} AS d_{f}", f"{ba} AS e_{f}", f"len({sect}) AS k_{f}"]
+        second += [f"{masks(f's_{f}', f't_{f}')} AS ms_{f}", f"CASE WHEN len(s_{f}) = len(t_{f}) THEN {masks(f't_{f}', f's_{f}')} ELSE [] END AS mt_{f}", f"{masks(f'p_{f}', f'q_{f}')} AS mp_{f}", f"{masks(f'd_{f}', f'e_{f}')} AS md_{f}"]
+        s, t, p, q, d, e, k = (f"{v}_{f}" for v in "stpqdek")
+        name = {"n": "name", "a": "addr"}[f]
+        guard = lambda v: f"(CASE WHEN len({s}) = 0 AND len({t}) = 0 THEN 1.0 WHEN len({s}) = 0 THEN 0.0 ELSE {v} END)::DOUBLE"  # noqa: E731, B023
+        both = _partial(s, t, f"ms_{f}")
+        back = _partial(t, s, f"mt_{f}")
+        gap = f"(CASE WHEN {k} > 0 THEN 1 ELSE 0 END)"
+        la, lb = f"({k} + {gap} + len({d}))", f"({k} + {gap} + len({e}))"
+        diff = f"1 - (len({d}) + len({e}) - 2 * {lcs(f'md_{f}', f'len({d})')})::DOUBLE / ({la} + {lb})"
+        sets = f"CASE WHEN {k} > 0 AND (len({d}) = 0 OR len({e}) = 0) THEN 1.0 WHEN {k} = 0 THEN {diff} ELSE greatest({diff}, 1 - (1 + len({d}))::DOUBLE / ({k} + {la}), 1 - (1 + len({e}))::DOUBLE / ({k} + {lb})) END"
+        third += [
+            f"{guard(f'2.0::DOUBLE * {lcs(f"ms_{f}", f"len({s})")} / (len({s}) + len({t}))')} AS {name}_levenshtein",
+            f"{guard(f'2.0::DOUBLE * {lcs(f"mp_{f}", f"len({p})")} / (len({p}) + len({q}))')} AS {name}_token_sort",
+            f"{guard(sets)} AS {name}_token_set",
+            f"{guard(f'CASE WHEN len({s}) = len({t}) THEN greatest({both}, {back}) ELSE {both} END')} AS {name}_partial",
+        ]
+    CTES["edi"] = (("pr",), f"SELECT {', '.join(first)} FROM pr")
+    CTES["msk"] = (("edi",), f"SELECT {', '.join(second)} FROM edi")
+    CTES["rat"] = (("msk",), f"SELECT {', '.join(third)} FROM msk")
+    mean = lambda v: f"({v}_levenshtein + {v}_token_sort + {v}_token_set) / 3"
+    CTES["cmb"] = (("rat",), f"SELECT *, {mean('name')} AS name_avg_sim, {mean('addr')} AS addr_avg_sim, ({mean('name')}) * ({mean('addr')}) AS name_addr_interaction, least({mean('name')}, {mean('addr')}) AS min_name_addr FROM rat")
+
+
+_edit_ctes()
