@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -43,6 +44,27 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers are kept between tasks, and what they hold adds up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run for mapInArrow, releasing memory after each task."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
+
+
 def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow for a function of one batch."""
     bounded_batches(df.sparkSession)
@@ -51,7 +73,7 @@ def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.Record
         for batch in batches:
             yield from make(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 #: Stands for a null doc_id where ids are keys: null ids come after all others and match each other.

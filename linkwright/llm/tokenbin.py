@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import fresh_path, map_arrow, text_input
+from .runtime import fresh_path, map_arrow, text_input, tidy
 from .textcore import NOT_SPACE, U, Block, blocks, run_hash, words
 
 END_ID = 1
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 #: Words remembered by a Python worker; beyond it they are forgotten and learnt anew.
-MAX_WORDS = 2_000_000
+MAX_WORDS = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -128,7 +128,7 @@ class Encoder:
             lists = [np.array([*e.ids, END_ID], np.int32) for e in self.library.encode_batch_fast(column.fill_null("").to_pylist(), add_special_tokens=False)]
             return np.concatenate([np.zeros(0, np.int32), *lists]), np.cumsum([0, *map(len, lists)])
         parts, sizes = [], []
-        for b in blocks(column, size=1 << 22):
+        for b in blocks(column, size=1 << 19):
             ids, n = self._block(b)
             parts.append(ids)
             sizes.append(n)
@@ -207,7 +207,7 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str) -> None:
                 before += int(off[-1])
 
     docs = text_input(documents).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    out = docs.mapInArrow(make, "doc_id long, part_start long, n_tokens long, ids array<int>").write.option("compression", "zstd")
+    out = docs.mapInArrow(tidy(make), "doc_id long, part_start long, n_tokens long, ids array<int>").write.option("compression", "zstd")
     settings = {"parquet.writer.version": "PARQUET_2_0", "parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES, "parquet.enable.dictionary": "true"}
     settings |= {f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "part_start", "n_tokens")}
     for k, v in settings.items():

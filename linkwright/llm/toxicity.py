@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import ids_of, map_arrow, text_input
+from .runtime import ids_of, map_arrow, text_input, tidy
 from .textcore import U, WORDISH, Words, blocks, splitmix, words
 
 BUCKETS = 1 << 20
@@ -113,7 +113,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, how: Ftrl = Ftrl(), max_tra
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, BUCKETS)), pa.array(np.append(w[at], bias))], schema=made)
 
     train = map_arrow(text_input(docs), rows, "place long, toxic int, features binary")
-    model = train.repartition(1).mapInArrow(fit, "bucket long, weight double").toPandas()
+    model = train.repartition(1).mapInArrow(tidy(fit), "bucket long, weight double").toPandas()
     at, w = model["bucket"].to_numpy(np.int64), model["weight"].to_numpy(np.float64)
     is_bias = at == BUCKETS
     return at[~is_bias], w[~is_bias], float(w[is_bias].sum())

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import bounded_batches, fresh_path, open_shared, written
+from .runtime import bounded_batches, fresh_path, open_shared, tidy, written
 
 CHUNK = 1 << 20
 #: Uncompressed bytes after which a task starts its next archive.
@@ -201,7 +201,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
             close()
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], schema.types[i]) for i in range(2)], schema=schema)
 
-    return written(rows.mapInArrow(write, "path string, n_records long"), "warc-raw")
+    return written(rows.mapInArrow(tidy(write), "path string, n_records long"), "warc-raw")
 
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
@@ -219,7 +219,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
 
     n = archives.count()
     dealt = archives.select("path").repartition(max(1, n), F.xxhash64("path"))
-    return written(dealt.mapInArrow(run, "archive string, index string, n_records long"), "warc-normalised")
+    return written(dealt.mapInArrow(tidy(run), "archive string, index string, n_records long"), "warc-normalised")
 
 
 def read_index(spark: SparkSession, archives: DataFrame, folder: str) -> DataFrame:
@@ -263,7 +263,7 @@ def read_records(index: DataFrame) -> DataFrame:
         if file is not None:
             file.close()
 
-    return index.sortWithinPartitions("archive", "offset").mapInArrow(read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    return index.sortWithinPartitions("archive", "offset").mapInArrow(tidy(read), "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
 def through_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
