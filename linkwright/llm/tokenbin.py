@@ -86,9 +86,32 @@ class Encoder:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def forget(self) -> None:
-        #: known hashes in order, with their word's place in ids
-        self.known, self.at, self.size = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = (np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        #: known hashes in order, with their word's place and size in ids; recent ones apart, so that few new words don't
+        #: move all others
+        self.main, self.recent = none, none
         self.ids = np.array([END_ID, *self.marks], np.int32)  # the end id and the marks by byte come first
+        self.n_ids = len(self.ids)
+
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places (-1: unknown) and sizes of words by hash."""
+        at, size = np.full(len(h), -1), np.zeros(len(h), np.int64)
+        for known, places, sizes in (self.main, self.recent):
+            if len(known):
+                i = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                hit = known[i] == h
+                at[hit], size[hit] = places[i[hit]], sizes[i[hit]]
+        return at, size
+
+    def _keep(self, h: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        if self.n_ids + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.n_ids], np.zeros(self.n_ids + len(ids), np.int32)])
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        at = self.n_ids + np.cumsum(size) - size
+        self.n_ids += len(ids)
+        self.recent = _in_order(self.recent, (h, at, size))
+        if len(self.recent[0]) > max(1 << 15, len(self.main[0]) // 2):
+            self.main, self.recent = _in_order(self.main, self.recent), tuple(x[:0] for x in self.recent)
 
     def _learn(self, data: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray, plain: np.ndarray) -> None:
         """Distinct new words. Plain ones are single pre-tokens, whose last id alone ends a word, and are
@@ -115,12 +138,7 @@ class Encoder:
             ids = self._ids(raw[start[i] : end[i]].decode())
             new_ids.append(np.array(ids, np.int32))
             sizes.append(np.array([len(ids)]))
-        size = np.concatenate(sizes)
-        at = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, *new_ids])
-        self.known, self.at, self.size = (np.concatenate(x) for x in ((self.known, h[order]), (self.at, at), (self.size, size)))
-        by_hash = np.argsort(self.known)
-        self.known, self.at, self.size = self.known[by_hash], self.at[by_hash], self.size[by_hash]
+        self._keep(h[order], np.concatenate(new_ids), np.concatenate(sizes))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts of a column, each with the end id after it, and the offsets of the texts."""
@@ -128,7 +146,7 @@ class Encoder:
             lists = [np.array([*e.ids, END_ID], np.int32) for e in self.library.encode_batch_fast(column.fill_null("").to_pylist(), add_special_tokens=False)]
             return np.concatenate([np.zeros(0, np.int32), *lists]), np.cumsum([0, *map(len, lists)])
         parts, sizes = [], []
-        for b in blocks(column, size=1 << 19):
+        for b in blocks(column, size=1 << 20):
             ids, n = self._block(b)
             parts.append(ids)
             sizes.append(n)
@@ -156,22 +174,19 @@ class Encoder:
                 data[start[i] : end[i]] = b.data[start[i] : end[i]]
         h = run_hash(data, start, end)
         known, first, inv = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.known) + len(known) > MAX_WORDS:
+        if len(self.main[0]) + len(self.recent[0]) + len(known) > MAX_WORDS:
             self.forget()
-        place = np.searchsorted(self.known, known)
-        new = np.ones(len(known), bool)
-        inside = place < len(self.known)
-        new[inside] = self.known[place[inside]] != known[inside]
+        place, length = self._find(known)
+        new = place < 0
         if new.any():
             f = first[new]
             self._learn(data, known[new], start[f], end[f], plain[f])
-            place = np.searchsorted(self.known, known)
-        word = place[inv]
+            place, length = self._find(known)
         # every word, the mark after it, and every text's end
         of = np.zeros(2 * n + b.rows, np.int64)
         size = np.zeros(2 * n + b.rows, np.int64)
         here = 2 * np.arange(n) + w.doc
-        of[here], size[here] = self.at[word], self.size[word]
+        of[here], size[here] = place[inv], length[inv]
         of[here + 1], size[here + 1] = mark, mark > 0
         ends = 2 * np.cumsum(w.counts(b.rows)) + np.arange(b.rows)
         size[ends] = 1
@@ -180,6 +195,12 @@ class Encoder:
         return ids, np.diff(np.concatenate([[0], done[ends]]))
 
 
+def _in_order(a: tuple, b: tuple) -> tuple:
+    both = [np.concatenate(x) for x in zip(a, b)]
+    order = np.argsort(both[0], kind="stable")
+    return tuple(x[order] for x in both)
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
