@@ -105,6 +105,20 @@ def test_sentence_spans(docs_of, corpus):
     assert rows_of(twice, "doc_id", "kept") == [(1, "a b. c d. e f. tail one"), (2, "head. own"), (2, "head. own")]
 
 
+@pytest.mark.parametrize("n", [80, 300, 2000])
+def test_sentence_spans_of_unpunctuated_text(docs_of, n):
+    rng = random.Random(n)
+    text = lambda k: " ".join(f"w{rng.randrange(5000)}" for _ in range(k))
+    passage = text(n)
+    rows = [(i, f"{text(40 + i)} {passage} {text(40)}") for i in range(12)]  # at every offset
+    got = {r.doc_id: r for r in spans.remove_spans(docs_of(rows)).collect()}
+    assert got[0].kept == rows[0][1] and got[0].n_removed == 0
+    for i in range(1, 12):
+        left, kept = rows[i][1].split(), got[i].kept.split()
+        assert kept[: 40 + i] == left[: 40 + i] and kept[-40:] == left[-40:]
+        assert len(kept) < 80 + i + 40 and got[i].n_removed > 0
+
+
 # --- 6: quality ---
 
 
