@@ -76,7 +76,7 @@ def set_names(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, depth: int) -> DataFrame:
     """doc_id, tag, node (the set's name) and the prefix names of all trees; none for wordless texts."""
     a, b = constants(TREES * depth, 7), constants(TREES * depth, 8)
-    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int32()), ("node", pa.int64()), ("prefixes", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("node", pa.int64()), ("prefixes", pa.list_(pa.int64()))])
 
     def make(batch):
         for blk in blocks(batch.column("text"), lower=True, size=1 << 19):
@@ -94,7 +94,7 @@ def signatures(docs: DataFrame, depth: int) -> DataFrame:
             cols = [batch.column("doc_id")[part], batch.column("tag")[part], pa.array(set_names(sets, off).view(np.int64)), lists]
             yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
-    return map_arrow(docs, make, "doc_id long, tag int, node long, prefixes array<long>")
+    return map_arrow(docs, make, "doc_id long, tag long, node long, prefixes array<long>")
 
 
 def packed(sets: np.ndarray) -> bytes:
@@ -216,7 +216,7 @@ def keep_first(documents: DataFrame) -> DataFrame:
     """The rows of documents, all columns, that stay: one of each class; of rows equal in id and text, one."""
     key, tag = (_free(documents, x) for x in ("key", "tag"))
     first = near_duplicates(documents).filter("first").select(F.coalesce("doc_id", F.lit(NO_ID)).alias(key), F.col("tag").alias(tag)).distinct()
-    hashed = F.hash(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF))
+    hashed = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     tagged = documents.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), tag: hashed})
     return tagged.join(first, [key, tag], "left_semi").dropDuplicates([key, tag]).drop(key, tag)
 

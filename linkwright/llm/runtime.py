@@ -80,9 +80,10 @@ def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.Record
 NO_ID = (1 << 63) - 1
 
 
-def keyed_input(docs: DataFrame, bits: int = 0x7FFFFFFF) -> DataFrame:
-    """doc_id (never null), text (never null) and tag, so many bits of the text's hash."""
-    tag = F.hash("text").bitwiseAND(F.lit(bits)).cast("int")
+def keyed_input(docs: DataFrame) -> DataFrame:
+    """doc_id (never null), text (never null) and tag, a 64-bit hash of the text, which tell texts apart where many
+    rows share an id or lack one."""
+    tag = F.xxhash64("text")
     return text_input(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("tag", tag)
 
 

@@ -111,7 +111,7 @@ def _since(new: np.ndarray) -> np.ndarray:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, tag, places: the words (first << SIZE_BITS | number) of the spans of a text that are not the first of their
     kind. docs has doc_id, text and tag."""
-    schema = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("tag", pa.int32())])
+    schema = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("tag", pa.int64())])
 
     def make(batch):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -126,7 +126,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             cols = [h.view(np.int64), ids[b.first + row], (place << SIZE_BITS) | size, tags[b.first + row]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=schema)
 
-    spans = map_arrow(docs, make, "h long, doc_id long, at long, tag int")
+    spans = map_arrow(docs, make, "h long, doc_id long, at long, tag long")
     key = F.struct("doc_id", "at", "tag")
     again = spans.groupBy("h").agg(F.min(key).alias("first"), F.count("*").alias("n")).filter("n > 1")
     again = written(again, "span-again")  # a plain scan, so that a frequent span's rows can be split in the join

@@ -111,22 +111,22 @@ def _pieces(column: pa.Array) -> Iterator[tuple[Block, int]]:
                 yield Block(b.first, part, np.array([0, len(part)])), x
 
 
-# A run of suffixes of a text in one number: its start, the low 16 bits of the text's hash, its number of
-# suffixes, the gram's place in it; the top bit says that the same run is known elsewhere.
+# A run of suffixes of a text in one number: its start, its number of suffixes, the gram's place in it; the
+# top bit says that the same run is known elsewhere. The text is named by doc_id and tag, a 64-bit hash.
 _TWICE = np.int64(1) << np.int64(62)
 
 
-def _pack(start, tag, size, gram):
-    return (start.astype(np.int64) << 32) | (tag.astype(np.int64) << 16) | (size.astype(np.int64) << 8) | gram.astype(np.int64)
+def _pack(start, size, gram):
+    return (start.astype(np.int64) << 16) | (size.astype(np.int64) << 8) | gram.astype(np.int64)
 
 
 def _unpack(at: np.ndarray):
-    return (at & ~_TWICE) >> 32, (at >> 16) & 0xFFFF, (at >> 8) & 0xFF, at & 0xFF, (at & _TWICE) != 0
+    return (at & ~_TWICE) >> 16, (at >> 8) & 0xFF, at & 0xFF, (at & _TWICE) != 0
 
 
 def _runs(docs: DataFrame) -> DataFrame:
     """Round 1: every phrase with the names of its gram (m) and of itself (s)."""
-    schema = pa.schema([("m", pa.int64()), ("s", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
+    schema = pa.schema([("m", pa.int64()), ("s", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64())])
 
     def make(batch):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -138,11 +138,11 @@ def _runs(docs: DataFrame) -> DataFrame:
                 continue
             row = np.searchsorted(b.off, start, "right") - 1
             s = _mix(_mix(names.full(start), names.full(start + size - 1)), size.astype(U))
-            at = _pack(start - b.off[row] + base, tags[b.first + row], size, gram - start)
-            cols = [names.q[gram].view(np.int64), s.view(np.int64), ids[b.first + row], at]
+            at = _pack(start - b.off[row] + base, size, gram - start)
+            cols = [names.q[gram].view(np.int64), s.view(np.int64), ids[b.first + row], tags[b.first + row], at]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=schema)
 
-    return map_arrow(docs.filter(F.octet_length("text") >= LENGTH), make, "m long, s long, doc_id long, at long")
+    return map_arrow(docs.filter(F.octet_length("text") >= LENGTH), make, "m long, s long, doc_id long, tag long, at long")
 
 
 def _touched(docs: DataFrame, lists: DataFrame, n: int) -> DataFrame:
@@ -154,17 +154,17 @@ def _touched(docs: DataFrame, lists: DataFrame, n: int) -> DataFrame:
 
 
 def _lists(rows: DataFrame, *what: str) -> DataFrame:
-    tag = F.shiftrightunsigned("at", 16).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("tag")
-    return rows.groupBy("doc_id", tag).agg(F.collect_list(F.struct("at", *what)).alias("items"))
+    return rows.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", *what)).alias("items"))
 
 
 def _refine(docs: DataFrame, rows: DataFrame, cut) -> DataFrame:
-    """New rows k, g, doc_id, at from rows of (doc_id, at, k), whose texts cut() names."""
+    """New rows k, g, doc_id, tag, at from rows of (doc_id, tag, at, k), whose texts cut() names."""
     lists = written(_lists(rows, "k"), "repeat-lists")
-    schema = pa.schema([("k", pa.int64()), ("g", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
+    schema = pa.schema([("k", pa.int64()), ("g", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64())])
 
     def make(batch):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        tags = batch.column("tag").to_numpy(zero_copy_only=False)
         items = batch.column("items")
         off = np.concatenate([[0], np.cumsum(np.array([len(x) for x in items]))]) if len(items) else np.zeros(1, np.int64)
         flat = items.flatten()
@@ -172,18 +172,18 @@ def _refine(docs: DataFrame, rows: DataFrame, cut) -> DataFrame:
         for b, base in _pieces(batch.column("text")):
             mine = slice(off[b.first], off[b.first + b.rows])
             row = np.repeat(np.arange(b.rows), np.diff(off[b.first : b.first + b.rows + 1]))
-            start, tag, size, gram, twice = _unpack(at[mine])
+            start, size, gram, twice = _unpack(at[mine])
             # a run belongs to the piece it starts in, and ends in it
             here = (start >= base) & (start < base + PIECE) & (start + size + LENGTH - 1 <= base + np.diff(b.off)[row])
-            start, tag, size, gram, twice, row, key = (x[here] for x in (start, tag, size, gram, twice, row, k[mine]))
+            start, size, gram, twice, row, key = (x[here] for x in (start, size, gram, twice, row, k[mine]))
             shift = b.off[row] - base
             new_k, g, start, size, gram, of = cut(Names(b.data), start + shift, size, gram, key.view(U))
-            new = _pack(start - shift[of], tag[of], size, gram) | np.where(twice[of], _TWICE, 0)
-            cols = [new_k.view(np.int64), g.view(np.int64), ids[b.first + row[of]], new]
+            new = _pack(start - shift[of], size, gram) | np.where(twice[of], _TWICE, 0)
+            cols = [new_k.view(np.int64), g.view(np.int64), ids[b.first + row[of]], tags[b.first + row[of]], new]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=schema)
 
     n = lists.count()
-    return map_arrow(_touched(docs, lists, n), make, "k long, g long, doc_id long, at long")
+    return map_arrow(_touched(docs, lists, n), make, "k long, g long, doc_id long, tag long, at long")
 
 
 def _expand(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,29 +214,29 @@ def _singles(names: Names, start, size, gram, key):
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """doc_id, at of runs of suffixes that occur elsewhere; docs with doc_id, text and tag."""
+    """doc_id, tag, at of runs of suffixes that occur elsewhere; docs with doc_id, text and tag."""
     runs = _runs(docs)
     grams = runs.groupBy("m").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("n")).filter("n > 1")
     grams = written(grams, "repeat-grams")  # a plain scan, so that a frequent gram's rows can be split in the join
-    left = written(runs.join(grams, "m").select("m", "s", "doc_id", "at", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-runs")
+    left = written(runs.join(grams, "m").select("m", "s", "doc_id", "tag", "at", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-runs")
     # round 2
     mixed = left.filter("mixed")
-    whole = written(mixed.groupBy("m", "s").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("x")), "repeat-phrases")
+    whole = written(mixed.groupBy("m", "s").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "tag")).alias("x")), "repeat-phrases")
     again = mixed.join(whole.filter("n > 1").select("m", "s"), ["m", "s"], "left_semi")
     twice = F.when(F.col("n") > 1, F.lit(int(_TWICE))).otherwise(F.lit(0))
-    one_each = whole.select("x.doc_id", F.col("x.at").bitwiseOR(twice).alias("at"), F.col("m").alias("k"))
-    found = [left.filter("not mixed").select("doc_id", "at"), again.select("doc_id", "at")]
+    one_each = whole.select("x.doc_id", "x.tag", F.col("x.at").bitwiseOR(twice).alias("at"), F.col("m").alias("k"))
+    found = [left.filter("not mixed").select("doc_id", "tag", "at"), again.select("doc_id", "tag", "at")]
     # rounds 3 and 4: a run known elsewhere counts twice and asks for nothing
     known = F.col("at") >= int(_TWICE)
     rows = written(_refine(docs, one_each, _segments), "repeat-segments")
     n = F.sum(F.when(known, 2).otherwise(1)).alias("n")
     shared = rows.groupBy("k").agg(n, F.min("g").alias("lo"), F.max("g").alias("hi")).filter("n > 1")
     shared = written(shared, "repeat-shared")
-    rows = written(rows.join(shared, "k").select("k", "g", "doc_id", "at", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-open")
-    found.append(rows.filter(~F.col("mixed") & ~known).select("doc_id", "at"))
-    rows = written(_refine(docs, rows.filter("mixed").select("doc_id", "at", "k"), _singles), "repeat-singles")
+    rows = written(rows.join(shared, "k").select("k", "g", "doc_id", "tag", "at", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-open")
+    found.append(rows.filter(~F.col("mixed") & ~known).select("doc_id", "tag", "at"))
+    rows = written(_refine(docs, rows.filter("mixed").select("doc_id", "tag", "at", "k"), _singles), "repeat-singles")
     equal = written(rows.groupBy("k", "g").agg(n).filter("n > 1").select("k", "g"), "repeat-equal")
-    found.append(rows.filter(~known).join(equal, ["k", "g"], "left_semi").select("doc_id", "at"))
+    found.append(rows.filter(~known).join(equal, ["k", "g"], "left_semi").select("doc_id", "tag", "at"))
     out = found[0]
     for x in found[1:]:
         out = out.union(x)
@@ -246,7 +246,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (array of start, end in bytes, the maximal removed runs) and kept (the other
     bytes) of every row."""
-    docs = keyed_input(documents, 0xFFFF)
+    docs = keyed_input(documents)
     lists = written(_lists(repeated_runs(docs)), "repeat-found")
     n = lists.count()
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
@@ -256,7 +256,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         texts = batch.column("text")
         for i, (text, item) in enumerate(zip(texts, batch.column("items"))):
             data = np.frombuffer(text.as_buffer() or b"", np.uint8)
-            start, _, size, _, _ = _unpack(item.values.field(0).to_numpy(zero_copy_only=False))
+            start, size, _, _ = _unpack(item.values.field(0).to_numpy(zero_copy_only=False))
             edge = np.zeros(len(data) + 1, np.int32)
             np.add.at(edge, start, 1)
             np.add.at(edge, start + size + LENGTH - 1, -1)

@@ -60,6 +60,15 @@ def test_large_group_in_blocks(docs_of, monkeypatch):
     assert got == brute.near_duplicates(rows)
 
 
+def test_keep_first_of_texts_without_id(docs_of, spark):
+    text = F.concat_ws(" ", F.sha1(F.col("id").cast("string")), F.sha1((F.col("id") + 1000000).cast("string")))
+    rows = spark.range(300000).select(text.alias("text"))
+    same = rows.groupBy(F.hash("text").bitwiseAND(F.lit(0x7FFFFFFF))).agg(F.collect_list("text").alias("t")).filter("size(t) > 1")
+    texts = [t for r in same.collect() for t in r.t]  # different texts whose short hashes agree
+    assert len(texts) > 2
+    assert lshforest.keep_first(docs_of([(None, t) for t in texts])).count() == len(texts)
+
+
 # --- 5: repeated bytes ---
 
 
@@ -93,6 +102,17 @@ def test_repeats_at_random(docs_of):
     assert got == brute.repeats(rows, 200)
 
 
+def test_repeats_of_many_texts_without_id(docs_of):
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = text(200)
+    own = [(text(5 + i % 300), text(210)) for i in range(1500)]
+    texts = [f"{a}{shared}{b}" if i % 3 == 0 else b for i, (a, b) in enumerate(own)]
+    want = sorted(x[1:3] + x[4:] for x in brute.repeats(list(enumerate(texts)), suffix.LENGTH))
+    out = suffix.remove_repeats(docs_of([(None, t) for t in texts])).collect()
+    assert sorted((r.n_bytes, r.n_bytes - len(r.kept), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out) == want
+
+
 # --- 10: sentence spans ---
 
 
