@@ -26,9 +26,11 @@ def gram_rows(records: DataFrame) -> DataFrame:
     return each.groupBy("country_norm", "entity_id", "field", "term").agg(F.count("*").alias("tf"))
 
 
-def fit_rows(records: DataFrame, limit: int = L.FIT_ROWS) -> DataFrame:
+def fit_rows(records: DataFrame, limit: int | None = L.FIT_ROWS) -> DataFrame:
     """The records to fit on: all of a country of up to limit records, else those whose hash falls into that share of the
-    range, which is about limit of them and needs no global sort."""
+    range, which is about limit of them and needs no global sort. Without a limit all records."""
+    if limit is None:
+        return records
     n = records.groupBy("country_norm").agg(F.count("*").alias("_n"))
     share = F.pmod(F.xxhash64("entity_id"), F.lit(1 << 30)) / float(1 << 30)
     return records.join(n, "country_norm").filter((F.col("_n") <= limit) | (share < F.lit(float(limit)) / F.col("_n"))).drop("_n")

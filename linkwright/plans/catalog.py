@@ -185,19 +185,19 @@ def char_wb_ngrams(spark, sf_dir):
 
 @query(Q.sql("SELECT country_norm, field, term, df, n_docs FROM voc", "voc"))
 def tfidf_vocab(spark, sf_dir):
-    return vectors.vocabulary(vectors.fit_rows(Records(spark, sf_dir).all))
+    return vectors.vocabulary(vectors.fit_rows(Records(spark, sf_dir).all, None))
 
 
 @query(Q.sql("SELECT country_norm, entity_id, field, term, round(weight, 6) AS weight FROM tfi", "tfi"))
 def tfidf_weights(spark, sf_dir):
     r = Records(spark, sf_dir)
-    return vectors.tfidf(r.all, vectors.vocabulary(vectors.fit_rows(r.all))).withColumn("weight", F.round("weight", 6))
+    return vectors.tfidf(r.all, vectors.vocabulary(vectors.fit_rows(r.all, None))).withColumn("weight", F.round("weight", 6))
 
 
 @query(Q.sql("SELECT country_norm, entity_id, field, term, round(weight, 6) AS weight FROM vec", "vec"))
 def record_vectors(spark, sf_dir):
     r = Records(spark, sf_dir)
-    return vectors.record_vectors(r.all, vectors.vocabulary(vectors.fit_rows(r.all))).withColumn("weight", F.round("weight", 6))
+    return vectors.record_vectors(r.all, vectors.vocabulary(vectors.fit_rows(r.all, None))).withColumn("weight", F.round("weight", 6))
 
 
 # --- pairwise similarities, of the token channel's candidates ---
@@ -295,7 +295,7 @@ def token_topk(spark, sf_dir):
 
 def _cosine(spark, sf_dir) -> tuple[Records, DataFrame]:
     r = Records(spark, sf_dir)
-    vocab = written(vectors.vocabulary(vectors.fit_rows(r.all)), "vocabulary")
+    vocab = written(vectors.vocabulary(vectors.fit_rows(r.all, None)), "vocabulary")
     return r, vectors.cosine_candidates(vectors.record_vectors(r.s1, vocab), vectors.record_vectors(r.s23, vocab))
 
 

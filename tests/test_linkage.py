@@ -108,6 +108,12 @@ def test_oracle(spark, sf_dir, name):
     same(spark, sf_dir, catalog.QUERIES[name], catalog.ORACLES[name])
 
 
+def test_vocabulary_counts_all_records(spark, sf_dir, monkeypatch):
+    fit = catalog.vectors.fit_rows
+    monkeypatch.setattr(catalog.vectors, "fit_rows", lambda records, limit=5: fit(records, limit))  # a sample's size in reach
+    same(spark, sf_dir, catalog.QUERIES["tfidf_vocab"], catalog.ORACLES["tfidf_vocab"])
+
+
 def test_entry(spark):
     if os.path.isdir("/root/testdata/sf0.001"):
         assert entry.entry(spark).count() > 0
