@@ -1,28 +1,25 @@
 """Exact removal of repeated byte strings by bucket-pointer refinement to a fixed depth.
 
-A suffix array orders all suffixes; to find strings of LENGTH bytes that occur twice, only the classes
-of suffixes that agree in LENGTH bytes are needed. Bucket-pointer refinement makes them without
-comparing bytes: suffixes start in buckets of equal q-grams, and a bucket is refined by sorting on the
-bucket identifiers at later offsets, identifiers of longer strings being made from those of shorter
-ones. Here an identifier is a 64-bit name that each task computes from its own text (8, 16, 32, 64,
-128 and LENGTH bytes, each from two names of the level below), so that a round needs one grouping by
-name and no global array. Buckets that hold one suffix leave after each round:
-
-1. The buckets of Q-byte grams are taken at one position for each suffix: at the least name within its
-   LENGTH bytes, which equal strings choose alike. Neighbouring suffixes mostly choose the same position and
-   travel as one phrase. Phrases whose gram occurs once leave.
-2. Refined by the identifier of the whole phrase: phrases that occur twice are repeated throughout.
-3. What is left is cut into segments of SEGMENT suffixes, aligned to the gram, refined by the identifier of
-   the bytes that all suffixes of the segment share, and by that of the segment itself.
-4. Segments that are still undecided are refined by the identifiers of their single suffixes.
-
-Equal names count as equal strings only within a bucket, so a false match needs a 64-bit collision between
-two suffixes that already agree in another 64-bit name.
-
-Defined cases: a null or empty text has no bytes and nothing removed; texts shorter than LENGTH keep
-everything; matches never cross texts; rows with equal id and equal text are separate texts, so that both
-lose all they share; a null id is an id like any other; a text longer than PIECE is named piece by piece; an empty table gives an empty one;
-other columns are ignored.
+A suffix array orders all suffixes; to find strings of LENGTH bytes that occur twice, only the classes of suffixes that
+agree in LENGTH bytes are needed. Bucket-pointer refinement makes them by starting from buckets of equal q-grams and sorting each
+bucket on the bucket identifiers found at a later offset, the refined identifiers being written back and used for the next,
+twice as long, offset. A bucket that holds one suffix is closed, and so is every suffix whose later offset is.
+
+1. The initial buckets are those of Q-byte grams, at one position for each suffix: at the least gram (by 64-bit name) within its
+   LENGTH bytes, which equal strings choose alike. Neighbouring suffixes mostly choose the same position and travel as one phrase.
+   A gram that occurs once closes its bucket, and a bucket whose phrases are all equal needs no refinement.
+2. Of equal phrases of a bucket one goes on. It takes its bytes along, to the task of its bucket.
+3. There the bucket's suffixes are refined (Buckets): identifiers of Q bytes are sorted in pairs (i, i + 32) into identifiers of 64
+   bytes, those in pairs (i, i + 64) into 128, and those in pairs (i, i + LENGTH - 128) into LENGTH, each round reading
+   what the one before wrote. Classes that survive are compared byte by byte.
+4. A bucket of more than MAX_PHRASES different phrases is not gathered in a task. Its suffixes are grouped across the cluster
+   by the pair of identifiers of their first and last 128 bytes, which are 64-bit names then: equality is agreement in 128 bits and
+   in the gram.
+
+Defined cases: a null or empty text has no bytes and nothing removed; texts shorter than LENGTH keep everything; matches never
+cross texts; rows with equal id and equal text are separate texts, so that both lose all they share; a null id is an id like any
+other, and texts that share one are told apart by a 64-bit hash; a text longer than PIECE is named piece by piece; an empty table gives
+an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,16 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import keyed_input, map_arrow, unkeyed, written
+from .runtime import bounded_batches, keyed_input, map_arrow, tidy, unkeyed, written
 from .textcore import Block, U, blocks, splitmix
 
 LENGTH = 200
 Q = 32
-SEGMENT = 16
 BLOCK = 1 << 18
 PIECE = 1 << 22
-#: Up to so many ids of touched texts are broadcast to spare the other texts a shuffle.
-MAX_BROADCAST_IDS = 1_000_000
+#: Different phrases of a bucket that one task refines, about 270 bytes each.
+MAX_PHRASES = 1000
 
 _A, _B = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 
@@ -52,25 +48,27 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return splitmix(a * _A + b * _B)
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each position on as a number; zeros follow the end."""
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    out = np.empty(n, U)
+    for j in range(min(8, n)):
+        out[j::8] = np.frombuffer(padded[j : j + (len(padded) - j) // 8 * 8].tobytes(), "<u8")[: len(out[j::8])]
+    return out
+
+
 class Names:
     """Names of the strings of a block. Those of Q bytes are kept, longer ones made where asked for."""
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        padded = np.concatenate([data, np.zeros(16, np.uint8)])
-        h = np.empty(n, U)
-        for j in range(min(8, n)):
-            h[j::8] = np.frombuffer(padded[j : j + (len(padded) - j) // 8 * 8].tobytes(), "<u8")[: len(h[j::8])]
-        h = splitmix(h)
+        h = splitmix(_eights(data))
         for step in (8, 16):
             h[:-step] = _mix(h[:-step], h[step:])
         self.q = h
 
-    def of64(self, i: np.ndarray) -> np.ndarray:
-        return _mix(self.q[i], self.q[i + 32])
-
     def of128(self, i: np.ndarray) -> np.ndarray:
-        return _mix(self.of64(i), self.of64(i + 64))
+        return _mix(_mix(self.q[i], self.q[i + 32]), _mix(self.q[i + 64], self.q[i + 96]))
 
     def full(self, i: np.ndarray) -> np.ndarray:
         return _mix(self.of128(i), self.of128(i + LENGTH - 128))
@@ -111,9 +109,8 @@ def _pieces(column: pa.Array) -> Iterator[tuple[Block, int]]:
                 yield Block(b.first, part, np.array([0, len(part)])), x
 
 
-# A run of suffixes of a text in one number: its start, its number of suffixes, the gram's place in it; the
-# top bit says that the same run is known elsewhere. The text is named by doc_id and tag, a 64-bit hash.
-_TWICE = np.int64(1) << np.int64(62)
+# A run of suffixes of a text in one number: its start, its number of suffixes and the gram's place in it. The
+# text is named by doc_id and tag, a 64-bit hash.
 
 
 def _pack(start, size, gram):
@@ -121,16 +118,29 @@ def _pack(start, size, gram):
 
 
 def _unpack(at: np.ndarray):
-    return (at & ~_TWICE) >> 16, (at >> 8) & 0xFF, at & 0xFF, (at & _TWICE) != 0
+    return at >> 16, (at >> 8) & 0xFF, at & 0xFF
+
+
+def _longs(batch: pa.RecordBatch, *columns: str) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+
+
+def _table(schema: pa.Schema, *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U else c, t) if isinstance(c, np.ndarray) else c for c, t in zip(columns, schema.types)], schema=schema)
+
+
+def _expand(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts n: the index of each copy's origin, and its place among the copies."""
+    of = np.repeat(np.arange(len(n)), n)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
 
 
 def _runs(docs: DataFrame) -> DataFrame:
-    """Round 1: every phrase with the names of its gram (m) and of itself (s)."""
-    schema = pa.schema([("m", pa.int64()), ("s", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64())])
+    """Every phrase with the names of its gram (m) and of itself (s)."""
+    schema = pa.schema([(c, pa.int64()) for c in ("m", "s", "doc_id", "tag", "at")])
 
     def make(batch):
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        tags = batch.column("tag").to_numpy(zero_copy_only=False)
+        ids, tags = _longs(batch, "doc_id", "tag")
         for b, base in _pieces(batch.column("text")):
             names = Names(b.data)
             start, size, gram = phrases(names, b.off)
@@ -139,107 +149,162 @@ def _runs(docs: DataFrame) -> DataFrame:
             row = np.searchsorted(b.off, start, "right") - 1
             s = _mix(_mix(names.full(start), names.full(start + size - 1)), size.astype(U))
             at = _pack(start - b.off[row] + base, size, gram - start)
-            cols = [names.q[gram].view(np.int64), s.view(np.int64), ids[b.first + row], tags[b.first + row], at]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=schema)
+            yield _table(schema, names.q[gram], s, ids[b.first + row], tags[b.first + row], at)
 
     return map_arrow(docs.filter(F.octet_length("text") >= LENGTH), make, "m long, s long, doc_id long, tag long, at long")
 
 
-def _touched(docs: DataFrame, lists: DataFrame, n: int) -> DataFrame:
-    """docs with their lists, by inner join. Texts without a list stay out of the shuffle as long as the
-    ids are few enough to broadcast."""
-    if n <= MAX_BROADCAST_IDS:
-        docs = docs.join(F.broadcast(lists.select("doc_id").distinct()), "doc_id", "left_semi")
-    return docs.join(lists, ["doc_id", "tag"])
-
-
 def _lists(rows: DataFrame, *what: str) -> DataFrame:
-    return rows.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", *what)).alias("items"))
+    """One row for each text; rows that are equal throughout, of equal rows of the table, count once."""
+    return rows.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("at", *what)).alias("items"))
 
 
-def _refine(docs: DataFrame, rows: DataFrame, cut) -> DataFrame:
-    """New rows k, g, doc_id, tag, at from rows of (doc_id, tag, at, k), whose texts cut() names."""
-    lists = written(_lists(rows, "k"), "repeat-lists")
-    schema = pa.schema([("k", pa.int64()), ("g", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64())])
+def _open_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """What refinement needs of phrases (m, s, n, large, doc_id, tag, at): their bytes (a is s then), or if they are of a large bucket
+    a row for each suffix with the identifiers of its first and last 128 bytes (a, b)."""
+    lists = written(_lists(phrases, "m", "s", "n", "large"), "repeat-lists")
+    schema = pa.schema([*((c, pa.int64()) for c in ("m", "a", "b", "n", "doc_id", "tag", "at")), ("data", pa.binary())])
 
     def make(batch):
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        tags = batch.column("tag").to_numpy(zero_copy_only=False)
+        ids, tags = _longs(batch, "doc_id", "tag")
         items = batch.column("items")
-        off = np.concatenate([[0], np.cumsum(np.array([len(x) for x in items]))]) if len(items) else np.zeros(1, np.int64)
+        off = np.concatenate([[0], np.cumsum(items.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
         flat = items.flatten()
-        at, k = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        at, m, s, n, large = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(5))
         for b, base in _pieces(batch.column("text")):
-            mine = slice(off[b.first], off[b.first + b.rows])
+            mine = np.arange(off[b.first], off[b.first + b.rows])
             row = np.repeat(np.arange(b.rows), np.diff(off[b.first : b.first + b.rows + 1]))
-            start, size, gram, twice = _unpack(at[mine])
+            start, size, gram = _unpack(at[mine])
             # a run belongs to the piece it starts in, and ends in it
             here = (start >= base) & (start < base + PIECE) & (start + size + LENGTH - 1 <= base + np.diff(b.off)[row])
-            start, size, gram, twice, row, key = (x[here] for x in (start, size, gram, twice, row, k[mine]))
-            shift = b.off[row] - base
-            new_k, g, start, size, gram, of = cut(Names(b.data), start + shift, size, gram, key.view(U))
-            new = _pack(start - shift[of], size, gram) | np.where(twice[of], _TWICE, 0)
-            cols = [new_k.view(np.int64), g.view(np.int64), ids[b.first + row[of]], tags[b.first + row[of]], new]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=schema)
-
-    n = lists.count()
-    return map_arrow(_touched(docs, lists, n), make, "k long, g long, doc_id long, tag long, at long")
-
-
-def _expand(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For counts n: the index of each copy's origin, and its place among the copies."""
-    of = np.repeat(np.arange(len(n)), n)
-    return of, np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-
-
-def _segments(names: Names, start, size, gram, key):
-    """Round 3. A suffix's distance d to its gram tells its segment, d // SEGMENT."""
-    low, high = gram - size + 1, gram
-    of, j = _expand(high // SEGMENT - low // SEGMENT + 1)
-    seg = low[of] // SEGMENT + j
-    lo, hi = np.maximum(seg * SEGMENT, low[of]), np.minimum(seg * SEGMENT + SEGMENT - 1, high[of])
-    p = start[of] + gram[of]
-    core = p - seg * SEGMENT
-    shared = _mix(names.of128(core), names.of128(core + LENGTH - SEGMENT + 1 - 128))
-    k = _mix(_mix(key[of], seg.astype(U)), shared)
-    g = _mix(_mix(names.full(p - hi), names.full(p - lo)), (lo * 256 + hi).astype(U))
-    return k, g, p - hi, hi - lo + 1, hi, of
-
-
-def _singles(names: Names, start, size, gram, key):
-    """Round 4."""
-    of, j = _expand(size)
-    i = start[of] + j
-    return key[of], names.full(i), i, np.ones(len(i), np.int64), np.zeros(len(i), np.int64), of
+            big = large[mine].astype(bool)
+            for mask, split in ((here & ~big, False), (here & big, True)):
+                if not mask.any():
+                    continue
+                i, r, place, width, g = mine[mask], b.first + row[mask], start[mask] + b.off[row[mask]] - base, size[mask], gram[mask]
+                if split:
+                    of, j = _expand(width)
+                    names, x = Names(b.data), place[of] + j
+                    one = np.ones(len(of), np.int64)
+                    new = _pack(start[mask][of] + j, one, np.maximum(g[of] - j, 0))
+                    yield _table(schema, m[i][of], names.of128(x), names.of128(x + LENGTH - 128), n[i][of], ids[r][of], tags[r][of], new, pa.nulls(len(of), pa.binary()))
+                else:
+                    of, j = _expand(width + LENGTH - 1)
+                    ends = np.concatenate([[0], np.cumsum(width + LENGTH - 1)]).astype(np.int32)
+                    data = pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer(ends), pa.py_buffer(b.data[place[of] + j])])
+                    yield _table(schema, m[i], s[i], np.zeros(len(i), np.int64), n[i], ids[r], tags[r], at[i], data)
+
+    return map_arrow(docs.join(lists, ["doc_id", "tag"]), make, "m long, a long, b long, n long, doc_id long, tag long, at long, data binary")
+
+
+class Buckets:
+    """Bucket-pointer refinement of phrases that lie one after the other in data, in buckets of phrases with one gram. Suffixes of a
+    bucket can be equal only at equal distances from the gram, so the distance is part of the initial identifier."""
+
+    def __init__(self, data: np.ndarray, size: np.ndarray, gram: np.ndarray, bucket: np.ndarray):
+        self.data, self.size = data, size
+        self.first = np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1)
+        of, j = _expand(size + LENGTH - Q)
+        x = self.first[of] + j
+        column = bucket[of].astype(U) * U(1024) + (gram[of] - j + 512).astype(U)
+        self.pointer = np.full(len(data), -1, np.int64)
+        self._number(x, _mix(Names(data).q[x], column))
+
+    def _number(self, x: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sort positions x on key and write their bucket's number back, -1 for closed buckets; the positions of open buckets, and
+        for each the first position of its bucket."""
+        _, first, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        is_open = count[inverse] > 1
+        self.pointer[:] = -1
+        self.pointer[x[is_open]] = inverse[is_open]
+        return x[is_open], x[first[inverse[is_open]]]
+
+    def _refine(self, depth: int, offset: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of depth bytes from pairs of pointers at i and i + offset."""
+        of, j = _expand(self.size + LENGTH - depth)
+        x = self.first[of] + j
+        x = x[(self.pointer[x] >= 0) & (self.pointer[x + offset] >= 0)]
+        return self._number(x, (self.pointer[x] << 32) | self.pointer[x + offset])
+
+    def repeated(self) -> np.ndarray:
+        """Which positions begin a string of LENGTH bytes that begins at another one too."""
+        self._refine(64, 32)
+        self._refine(128, 64)
+        x, head = self._refine(LENGTH, LENGTH - 128)
+        eights, same = _eights(self.data), np.ones(len(x), bool)
+        for k in range(0, LENGTH, 8):
+            same &= eights[x + k] == eights[head + k]
+        out = np.zeros(len(self.data), bool)
+        out[x] = True
+        if not same.all():  # strings of equal names that differ: the bucket is told apart by its bytes
+            bad = np.isin(head, head[~same])
+            strings: dict[bytes, list[int]] = {}
+            for i in x[bad].tolist():
+                strings.setdefault(self.data[i : i + LENGTH].tobytes(), []).append(i)
+            out[[i[0] for i in strings.values() if len(i) == 1]] = False
+        return out
+
+
+def _refined(small: DataFrame) -> DataFrame:
+    """doc_id, tag, at of the runs that refinement finds in phrases with their bytes. Tasks get whole buckets, many at a time."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "tag", "at")])
+    bounded_batches(small.sparkSession)
+
+    def solve(rows: pa.Table) -> pa.RecordBatch:
+        m, s, n, ids, tags, at = (rows.column(c).to_numpy() for c in ("m", "a", "n", "doc_id", "tag", "at"))
+        new = np.ones(len(m), bool)  # a phrase of rows that are equal throughout comes several times
+        new[1:] = (m[1:] != m[:-1]) | (s[1:] != s[:-1])
+        rows, (m, n, ids, tags, at) = rows.filter(pa.array(new)), (c[new] for c in (m, n, ids, tags, at))
+        start, size, gram = _unpack(at)
+        data = np.frombuffer(b"".join(rows.column("data").to_pylist()), np.uint8)
+        bucket = np.cumsum(np.concatenate([[0], m[1:] != m[:-1]]))
+        hit = Buckets(data, size, gram, bucket).repeated()
+        of, j = _expand(size)
+        first = np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1)
+        found = hit[first[of] + j] & (n[of] == 1)  # of phrases known elsewhere all is known
+        of, j = of[found], j[found]
+        begins = np.ones(len(of), bool)
+        begins[1:] = (of[1:] != of[:-1]) | (j[1:] != j[:-1] + 1)
+        b = np.flatnonzero(begins)
+        width = np.diff(np.append(b, len(of)))
+        return _table(schema, ids[of[b]], tags[of[b]], _pack(start[of[b]] + j[b], width, np.zeros(len(b), np.int64)))
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            m = rows.column("m").to_numpy()
+            whole = int(np.searchsorted(m, m[-1])) if len(m) else 0  # the last bucket may go on
+            if whole:
+                yield solve(rows.slice(0, whole))
+            held = rows.slice(whole).combine_chunks()
+        if held is not None and held.num_rows:
+            yield solve(held)
+
+    return small.repartition("m").sortWithinPartitions("m", "a").mapInArrow(tidy(run), "doc_id long, tag long, at long")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """doc_id, tag, at of runs of suffixes that occur elsewhere; docs with doc_id, text and tag."""
+    key = ["doc_id", "tag", "at"]
     runs = _runs(docs)
     grams = runs.groupBy("m").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("n")).filter("n > 1")
     grams = written(grams, "repeat-grams")  # a plain scan, so that a frequent gram's rows can be split in the join
-    left = written(runs.join(grams, "m").select("m", "s", "doc_id", "tag", "at", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-runs")
-    # round 2
+    left = written(runs.join(grams, "m").select("m", "s", *key, (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-runs")
     mixed = left.filter("mixed")
-    whole = written(mixed.groupBy("m", "s").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "tag")).alias("x")), "repeat-phrases")
+    whole = mixed.groupBy("m", "s").agg(F.least(F.count("*"), F.lit(2)).alias("n"), F.min(F.struct(*key)).alias("x"))
+    whole = written(whole.select("m", "s", "n", "x.*"), "repeat-phrases")
     again = mixed.join(whole.filter("n > 1").select("m", "s"), ["m", "s"], "left_semi")
-    twice = F.when(F.col("n") > 1, F.lit(int(_TWICE))).otherwise(F.lit(0))
-    one_each = whole.select("x.doc_id", "x.tag", F.col("x.at").bitwiseOR(twice).alias("at"), F.col("m").alias("k"))
-    found = [left.filter("not mixed").select("doc_id", "tag", "at"), again.select("doc_id", "tag", "at")]
-    # rounds 3 and 4: a run known elsewhere counts twice and asks for nothing
-    known = F.col("at") >= int(_TWICE)
-    rows = written(_refine(docs, one_each, _segments), "repeat-segments")
-    n = F.sum(F.when(known, 2).otherwise(1)).alias("n")
-    shared = rows.groupBy("k").agg(n, F.min("g").alias("lo"), F.max("g").alias("hi")).filter("n > 1")
-    shared = written(shared, "repeat-shared")
-    rows = written(rows.join(shared, "k").select("k", "g", "doc_id", "tag", "at", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-open")
-    found.append(rows.filter(~F.col("mixed") & ~known).select("doc_id", "tag", "at"))
-    rows = written(_refine(docs, rows.filter("mixed").select("doc_id", "tag", "at", "k"), _singles), "repeat-singles")
-    equal = written(rows.groupBy("k", "g").agg(n).filter("n > 1").select("k", "g"), "repeat-equal")
-    found.append(rows.filter(~known).join(equal, ["k", "g"], "left_semi").select("doc_id", "tag", "at"))
-    out = found[0]
-    for x in found[1:]:
-        out = out.union(x)
+    large = written(whole.groupBy("m").agg(F.count("*").alias("of")).filter(F.col("of") > MAX_PHRASES).select("m", F.lit(True).alias("large")), "repeat-large")
+    marked = whole.join(large, "m", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    rows = written(_open_phrases(docs, marked), "repeat-open")
+    suffixes = rows.filter("data is null")
+    equal = written(suffixes.groupBy("m", "a", "b").agg(F.sum("n").alias("of")).filter("of > 1").select("m", "a", "b"), "repeat-equal")
+    spread = suffixes.filter("n = 1").join(equal, ["m", "a", "b"], "left_semi")
+    out = left.filter("not mixed").select(key)
+    for found in (again, _refined(rows.filter("data is not null")), spread):
+        out = out.union(found.select(key))
     return out
 
 
@@ -248,15 +313,17 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     bytes) of every row."""
     docs = keyed_input(documents)
     lists = written(_lists(repeated_runs(docs)), "repeat-found")
-    n = lists.count()
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", spans), ("kept", pa.binary())])
 
     def cut(batch):
         rows = []
-        texts = batch.column("text")
-        for i, (text, item) in enumerate(zip(texts, batch.column("items"))):
+        for text, item in zip(batch.column("text"), batch.column("items")):
             data = np.frombuffer(text.as_buffer() or b"", np.uint8)
-            start, size, _, _ = _unpack(item.values.field(0).to_numpy(zero_copy_only=False))
+            if not item.is_valid:
+                rows.append((len(data), [], data.tobytes()))
+                continue
+            start, size, _ = _unpack(item.values.field(0).to_numpy(zero_copy_only=False))
             edge = np.zeros(len(data) + 1, np.int32)
             np.add.at(edge, start, 1)
             np.add.at(edge, start + size + LENGTH - 1, -1)
@@ -267,10 +334,5 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], schema=schema)
 
     kind = "array<struct<start:long,end:long>>"
-    whole = [F.octet_length("text").cast("long").alias("n_bytes"), F.array().cast(kind).alias("spans"), F.encode("text", "UTF-8").alias("kept")]
-    if n <= MAX_BROADCAST_IDS:
-        clean = docs.join(F.broadcast(lists.select("doc_id", "tag")), ["doc_id", "tag"], "left_anti")
-    else:
-        clean = docs.join(lists, ["doc_id", "tag"], "left_anti")
-    changed = map_arrow(_touched(docs, lists, n), cut, f"doc_id long, n_bytes long, spans {kind}, kept binary")
-    return unkeyed(clean.select("doc_id", *whole).unionByName(changed), "doc_id")
+    out = map_arrow(docs.join(lists, ["doc_id", "tag"], "left"), cut, f"doc_id long, n_bytes long, spans {kind}, kept binary")
+    return unkeyed(out, "doc_id")

@@ -72,7 +72,9 @@ def test_keep_first_of_texts_without_id(docs_of, spark):
 # --- 5: repeated bytes ---
 
 
-def test_repeats(docs_of, corpus):
+@pytest.mark.parametrize("most", [suffix.MAX_PHRASES, 2, 0])  # phrases of a bucket that is refined in a task
+def test_repeats(docs_of, corpus, monkeypatch, most):
+    monkeypatch.setattr(suffix, "MAX_PHRASES", most)
     out = suffix.remove_repeats(docs_of(corpus, clash=True))
     got = sorted((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out.collect())
     assert got == brute.repeats(corpus, suffix.LENGTH)
@@ -94,7 +96,9 @@ def test_repeats_across_the_pieces_of_long_texts(docs_of):
     assert got == [(5, []), (850, [(100, 800)]), (size + 550, [(size - 100, size + 550)]), (size + 1250, [(size - 350, size + 350)])]
 
 
-def test_repeats_at_random(docs_of):
+@pytest.mark.parametrize("most", [suffix.MAX_PHRASES, 3])
+def test_repeats_at_random(docs_of, monkeypatch, most):
+    monkeypatch.setattr(suffix, "MAX_PHRASES", most)
     rng = random.Random(9)
     pool = ["".join(rng.choice("ab") for _ in range(n)) for n in (150, 199, 200, 201, 260, 400)]
     rows = [(i, "".join(rng.choice(pool) + rng.choice(["", "c", "dd"]) for _ in range(rng.randrange(1, 6)))) for i in range(60)]
@@ -102,17 +106,51 @@ def test_repeats_at_random(docs_of):
     assert got == brute.repeats(rows, 200)
 
 
-def test_repeats_of_many_texts_without_id(docs_of):
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: i % 25])
+def test_repeats_of_many_texts_with_one_id(docs_of, ids):
     rng = random.Random(4)
     text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
     shared = text(200)
-    own = [(text(5 + i % 300), text(210)) for i in range(1500)]
+    own = [(text(5 + i % 300), text(210)) for i in range(5000)]
     texts = [f"{a}{shared}{b}" if i % 3 == 0 else b for i, (a, b) in enumerate(own)]
     want = sorted(x[1:3] + x[4:] for x in brute.repeats(list(enumerate(texts)), suffix.LENGTH))
-    out = suffix.remove_repeats(docs_of([(None, t) for t in texts])).collect()
+    out = suffix.remove_repeats(docs_of([(ids(i), t) for i, t in enumerate(texts)])).collect()
     assert sorted((r.n_bytes, r.n_bytes - len(r.kept), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out) == want
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_refinement_of_buckets(monkeypatch, weak):
+    """Against all pairs of suffixes; also if names are so short that different strings share them."""
+    rng = random.Random(7)
+    gram = "q" * suffix.Q
+    parts, size, place, bucket = [], [], [], []
+    base = "".join(rng.choice("ab") for _ in range(400))
+    for i in range(40):
+        low, n = rng.randrange(0, 100), rng.randrange(1, 69)
+        left, right = base[200 - low - 68 : 200], base[200:]
+        if i % 3:
+            k = rng.randrange(len(left))
+            left = left[:k] + "c" + left[k + 1 :]
+        if i % 4:
+            k = rng.randrange(180)
+            right = right[:k] + "d" + right[k + 1 :]
+        at = low + n - 1  # of the gram in the phrase
+        parts.append((left[len(left) - at :] + gram + right)[: n + suffix.LENGTH - 1])
+        size.append(n), place.append(at), bucket.append(i % 2)
+    if weak:
+        monkeypatch.setattr(suffix, "_mix", lambda a, b: (a * textcore.U(3) + b) & textcore.U(0x7FF))
+    found = suffix.Buckets(np.frombuffer("".join(parts).encode(), np.uint8), *(np.array(x) for x in (size, place, bucket))).repeated()
+    windows = [(b, p - j, t[j : j + suffix.LENGTH]) for t, n, p, b in zip(parts, size, place, bucket) for j in range(n)]
+    from collections import Counter
+
+    n_of, at = Counter(windows), 0
+    for t, n in zip(parts, size):
+        for j in range(n):
+            key = windows.pop(0)
+            assert found[at + j] == (n_of[key] > 1)
+        at += len(t)
+
+
 # --- 10: sentence spans ---
 
 
