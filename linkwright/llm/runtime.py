@@ -87,6 +87,14 @@ def keyed_input(docs: DataFrame) -> DataFrame:
     return text_input(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("tag", tag)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until no column of df has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def unkeyed(df: DataFrame, *columns: str) -> DataFrame:
     """df with null for NO_ID in the columns named."""
     return df.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in columns})

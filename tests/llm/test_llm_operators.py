@@ -24,9 +24,10 @@ def rows_of(df, *cols):
 # --- 4: near duplicates ---
 
 
-@pytest.mark.parametrize("block", [3, 256])
+@pytest.mark.parametrize("block", [3, lshforest.BLOCK])
 def test_near_duplicates(docs_of, corpus, monkeypatch, block):
     monkeypatch.setattr(lshforest, "BLOCK", block)
+    monkeypatch.setattr(lshforest, "BRANCH", 2 * block)
     got = rows_of(lshforest.near_duplicates(docs_of(corpus, clash=True)), "doc_id", "class_id", "n_links")
     assert got == brute.near_duplicates(corpus)
 
@@ -47,8 +48,52 @@ def test_prefixes_are_shortened_to_the_target():
     assert 1 - (1 - 0.8**d) ** lshforest.TREES >= lshforest.TARGET > 1 - (1 - 0.8 ** (d + 1)) ** lshforest.TREES
 
 
+def test_branches_are_searched_upwards():
+    """Against the components of all pairs; with one side and with two."""
+    rng, shortest = np.random.default_rng(5), lshforest.prefix_length()
+    base = rng.integers(0, 1 << 16, (4, lshforest.TREES * lshforest.DEPTH), dtype=np.uint16)
+    values = base[rng.integers(0, 4, 90)]
+    changed = rng.random(values.shape) < rng.choice([0.05, 0.3, 0.6], (90, 1))
+    values = np.where(changed, rng.integers(0, 1 << 16, values.shape, dtype=np.uint16), values)
+    values[:, 3 * lshforest.DEPTH : 3 * lshforest.DEPTH + shortest] = 7  # one prefix in tree 3
+    for side in (None, rng.integers(0, 2, 90)):
+        near = (values[:, None] == values[None]).mean(axis=2) >= 0.62
+        if side is not None:
+            near &= side[:, None] != side[None]
+        want, got = np.arange(90), np.arange(90)
+        for i, j in zip(*np.nonzero(near)):
+            want[want == want[i]] = want[j]
+        edges = lshforest.Branch(values, side, 0.62).search(3, shortest)
+        assert all(near[i, j] for i, j in edges) and len(edges) == 90 - len(set(want))
+        for i, j in edges:
+            got[got == got[i]] = got[j]
+        assert len(set(zip(want, got))) == len(set(want)) == len(set(got)) > 4
+
+
+def test_texts_below_the_threshold_are_not_verified(docs_of, monkeypatch):
+    def none(threshold):
+        def check(part):
+            raise ValueError("a pair below the threshold was verified")
+
+        return check
+
+    monkeypatch.setattr(lshforest, "_verify", none)
+    words = [f"w{k}" for k in range(200)]
+    rows = [(i, " ".join(words[:140] + [f"x{i}y{k}" for k in range(76)])) for i in range(300)]  # similarities 0.48
+    got = lshforest.near_duplicates(docs_of(rows)).collect()
+    assert len(got) == 300 and all(r.class_id == r.doc_id and r.n_links == 0 for r in got)
+
+
+def test_block_size_is_bounded_in_bytes(docs_of, monkeypatch):
+    monkeypatch.setattr(lshforest, "BLOCK_BYTES", 2000)
+    words = [f"w{k}" for k in range(300)]
+    rows = [(i, " ".join(words[: 280 + i])) for i in range(12)]
+    assert rows_of(lshforest.near_duplicates(docs_of(rows)), "doc_id", "class_id", "n_links") == brute.near_duplicates(rows)
+
+
 def test_large_group_in_blocks(docs_of, monkeypatch):
     monkeypatch.setattr(lshforest, "BLOCK", 16)
+    monkeypatch.setattr(lshforest, "BRANCH", 16)
     rng, base = random.Random(1), [f"w{i}" for i in range(60)]
     rows = []
     for i in range(120):
