@@ -14,8 +14,8 @@ times in all.
 
 A text's tokens are its white-space words, at least one. Defined cases: null texts count one token; a null source is
 a source of its own; rows equal in doc_id, source and text have places in no fixed order among
-themselves; a single source gets weight 1 and is read as its quota says; an empty table gives an empty one; columns
-of any name are passed on (those added start with an underscore).
+themselves; a single source gets weight 1 and is read as its quota says; an empty table gives an empty one; mixed_rows
+passes columns of any name on (they travel in one struct), mixture ignores other columns.
 """
 
 from __future__ import annotations
@@ -119,7 +119,7 @@ def mixture(documents: DataFrame, entropy_share: float) -> DataFrame:
 
 def mixed_rows(documents: DataFrame, repeat_limit: float) -> DataFrame:
     """The rows of documents, all columns, each as often as the mixture reads it."""
-    cols = documents.columns
-    rows = documents.withColumns({"_n_tokens": n_tokens(F.col("text")), "_tie": F.xxhash64("text")})
+    own = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_own")
+    rows = documents.select("doc_id", "source", n_tokens(F.col("text")).alias("_n_tokens"), F.xxhash64("text").alias("_tie"), own)
     out = place(rows, repeat_limit=repeat_limit).filter("_n_copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n_copies"))).select(*cols)
+    return out.select(F.explode(F.sequence(F.lit(1).cast("long"), "_n_copies")), "_own").select("_own.*")
