@@ -33,7 +33,6 @@ LONGEST = 12
 LONG, NEAR = SPAN * LONGEST, 3
 #: A span has at most SPAN * LONGEST words.
 SIZE_BITS = 6
-MAX_BROADCAST_IDS = 1_000_000
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?\n")] = True
@@ -141,7 +140,7 @@ def remove_spans(documents: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
     def cut(batch):
-        places = batch.column("places") if "places" in batch.schema.names else None
+        places = batch.column("places")
         parts = [[], [], []]
         for b in blocks(batch.column("text")):
             s = Sentences(_lowered(b))
@@ -150,7 +149,7 @@ def remove_spans(documents: DataFrame) -> DataFrame:
             for i in range(b.rows):
                 lo, hi = bounds[i], bounds[i + 1]
                 text, n_removed = b.data[b.off[i] : b.off[i + 1]], 0
-                if places is not None and places[b.first + i].is_valid:
+                if places[b.first + i].is_valid:
                     at = places[b.first + i].values.to_numpy(zero_copy_only=False)
                     place, size = at >> SIZE_BITS, at & ((1 << SIZE_BITS) - 1)
                     gone = _covered(hi - lo, place, place + size)
@@ -165,11 +164,7 @@ def remove_spans(documents: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], schema=schema)
 
     out = "doc_id long, n_sentences long, n_removed long, kept string"
-    ids = found.select("doc_id")
-    ids = F.broadcast(ids) if found.count() <= MAX_BROADCAST_IDS else ids
-    clean = docs.join(ids, "doc_id", "left_anti")
-    touched = docs.join(ids, "doc_id", "left_semi").join(found, ["doc_id", "tag"], "left")
-    return unkeyed(map_arrow(clean, cut, out).unionByName(map_arrow(touched, cut, out)), "doc_id")
+    return unkeyed(map_arrow(docs.join(found, ["doc_id", "tag"], "left"), cut, out), "doc_id")
 
 
 def _covered(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
