@@ -20,7 +20,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.through_archives(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.through_archives(_table(spark, sf_dir, "pages"), columns=("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

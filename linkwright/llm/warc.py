@@ -10,8 +10,8 @@ Of pages with equal payloads of at least min_bytes the first (least page_id) is
 are revisits, which name it and carry the payload's digest and, in the HTTP header, its length.
 
 Defined cases: a null html is an empty payload, a null url an empty target; line breaks in a url are
-percent-encoded; payloads of any length are streamed record by record; rows equal in page_id and payload are one response
-and revisits of the same id; a null page_id comes after all others, and where a payload has no other,
+percent-encoded; payloads of any length are streamed record by record; of rows equal in page_id and payload one (of the least
+url) is a response and the others revisits of the same id; a null page_id comes after all others, and where a payload has no other,
 each such row is a response; an empty table gives no archives; other columns are ignored. Archives that are cut
 off or whose lengths don't add up raise an error.
 """
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import bounded_batches, fresh_path, open_shared, tidy, written
+from .runtime import BATCH_BYTES, bounded_batches, fresh_path, open_shared, tidy, written
 
 CHUNK = 1 << 20
 #: Uncompressed bytes after which a task starts its next archive.
@@ -164,17 +164,31 @@ def normalise_file(source: str, target: str, index: str, level: int = 6) -> int:
     return n
 
 
+def _revisits(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """page_id, url, payload, refers_to and revisit of every row. Rows equal in id, url and payload can't be told apart, so
+    where the first of a payload is one of several such rows, it is made anew as a response and revisits."""
+    big = F.octet_length("payload") >= min_bytes
+    rows = rows.withColumn("sha", F.sha1("payload"))
+    each = rows.filter(big).groupBy("sha", "page_id", "url").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("page_id").isNull().alias("last"), "page_id", "url", "n")).alias("first")
+    again = each.groupBy("sha").agg(first, F.sum("n").alias("n")).filter("n > 1 and first.page_id is not null")
+    again = written(again.select("sha", F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("first_url"), F.col("first.n").alias("copies")), "warc-payloads")
+    found = F.broadcast(again) if again.count() <= MAX_BROADCAST_PAYLOADS else again
+    rows = rows.join(found, "sha", "left").withColumn("is_first", F.coalesce((F.col("page_id") == F.col("refers_to")) & (F.col("url") == F.col("first_url")), F.lit(False)))
+    columns = ["page_id", "url", "payload", "refers_to"]
+    alone = ~F.col("is_first") | (F.col("copies") == 1)
+    out = rows.filter(alone).select(*columns, (F.col("refers_to").isNotNull() & ~F.col("is_first")).alias("revisit"))
+    if again.filter("copies > 1").head(1):
+        one = rows.filter(~alone).dropDuplicates(["sha", "page_id", "url"])
+        out = out.unionByName(one.select(*columns, F.explode(F.transform(F.sequence(F.lit(1).cast("long"), "copies"), lambda k: k > 1)).alias("revisit")))
+    return out
+
+
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write pages as monolithic archives below folder; path and n_records of each."""
     html = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url"), F.lit("")).alias("url"), html.alias("payload"))
-    rows = rows.withColumns({"sha": F.sha1("payload"), "row": F.monotonically_increasing_id()})
-    order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "row")
-    big = F.octet_length("payload") >= min_bytes
-    again = rows.filter(big).groupBy("sha").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1 and first.page_id is not null")
-    again = written(again.select("sha", F.col("first.page_id").alias("refers_to"), F.col("first.row").alias("first_row")), "warc-payloads")
-    again = F.broadcast(again) if again.count() <= MAX_BROADCAST_PAYLOADS else again
-    rows = rows.join(again, "sha", "left").select("page_id", "url", "payload", "refers_to", "row", (big & (F.col("row") != F.col("first_row"))).alias("revisit"))
+    rows = _revisits(rows, min_bytes)
     schema = pa.schema([("path", pa.string()), ("n_records", pa.int64())])
 
     def write(batches):
@@ -186,12 +200,12 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
             done.append((path, n))
 
         for batch in batches:
-            for row in zip(*(batch.column(i) for i in range(6))):
-                page_id, url, payload, refers_to, serial, revisit = (x.as_py() for x in row)
+            for row in zip(*(batch.column(i) for i in range(5))):
+                page_id, url, payload, refers_to, revisit = (x.as_py() for x in row)
                 if out is None:
                     path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
                     out, engine, size, n = open_shared(path, "wb"), zlib.compressobj(3, zlib.DEFLATED, 31), 0, 0
-                data = record(page_id, url, payload, refers_to, bool(revisit), str(serial) if revisit or page_id is None else "")
+                data = record(page_id, url, payload, refers_to, bool(revisit), uuid.uuid4().hex if revisit or page_id is None else "")
                 out.write(engine.compress(data))
                 size, n = size + len(data), n + 1
                 if size >= archive_bytes:
@@ -205,7 +219,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
 
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
-    """Normalise every archive of the column path, one to a task; archive, index and n_records of each.
+    """Normalise every archive of the column path, dealt evenly, one to a task; archive, index and n_records of each.
     A task that runs again writes files of its own, and only the files it reports count."""
     schema = pa.schema([("archive", pa.string()), ("index", pa.string()), ("n_records", pa.int64())])
 
@@ -217,8 +231,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 n = normalise_file(source, target, index)
                 yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([index]), pa.array([n])], schema=schema)
 
-    n = archives.count()
-    dealt = archives.select("path").repartition(max(1, n), F.xxhash64("path"))
+    dealt = archives.select("path").repartition(max(1, archives.count()))
     return written(dealt.mapInArrow(tidy(run), "archive string, index string, n_records long"), "warc-normalised")
 
 
@@ -230,47 +243,69 @@ def read_index(spark: SparkSession, archives: DataFrame, folder: str) -> DataFra
     return lines.join(archives.select("archive"), "archive", "left_semi")
 
 
-def read_records(index: DataFrame) -> DataFrame:
-    """page_id, url, record_type, refers_to, payload_bytes, payload_digest and payload (null for revisits)
-    of the records in the index, each read from its own member."""
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+RECORD = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+_KINDS = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
+
+
+def _parsed(data: bytes) -> dict:
+    """The fields of RECORD from a record's bytes. The digest of a payload is computed and compared."""
+    head, _, block = data[:-4].partition(b"\r\n\r\n")
+    fields = headers_of(head)
+    http, _, payload = block.partition(b"\r\n\r\n")
+    revisit = fields["warc-type"] == "revisit"
+    said = fields["warc-payload-digest"].removeprefix("sha1:")
+    digest = said if revisit else base32_sha1(payload)
+    if digest != said:
+        raise ValueError(f"the payload of {fields['warc-record-id']} is damaged")
+    http_fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in http.decode().split("\r\n"))}
+    return {
+        "page_id": _page(fields["warc-record-id"]),
+        "url": fields["warc-target-uri"],
+        "record_type": fields["warc-type"],
+        "refers_to": _page(fields["warc-refers-to"]) if revisit else None,
+        "payload_bytes": int(http_fields["content-length"]) if revisit else len(payload),
+        "payload_digest": digest,
+        "payload": None if revisit else payload,
+    }
+
+
+def read_records(index: DataFrame, columns: tuple[str, ...] = tuple(RECORD.names)) -> DataFrame:
+    """Columns of RECORD (payload is null for revisits) of the records in the index, each read from its own member. Only the
+    columns asked for leave the worker, and rows leave as soon as they are some 4 MB."""
+    schema = pa.schema([RECORD.field(c) for c in columns])
 
     def read(batches):
-        name, file = None, None
+        name, file, rows, held = None, None, [], 0
+
+        def out():
+            return pa.RecordBatch.from_pylist(rows, schema=schema)
+
         for batch in batches:
-            rows = []
             for archive, offset, length in zip(*(batch.column(c).to_pylist() for c in ("archive", "offset", "length"))):
                 if archive != name:
                     if file is not None:
                         file.close()
                     name, file = archive, open_shared(archive, "rb")
                 file.seek(offset)
-                data = zlib.decompress(file.read(length), 31)
-                head, _, block = data[:-4].partition(b"\r\n\r\n")
-                fields = headers_of(head)
-                http, _, payload = block.partition(b"\r\n\r\n")
-                revisit = fields["warc-type"] == "revisit"
-                http_fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in http.decode().split("\r\n"))}
-                digest = fields["warc-payload-digest"].removeprefix("sha1:") if revisit else base32_sha1(payload)
-                if digest != fields["warc-payload-digest"].removeprefix("sha1:"):
-                    raise ValueError(f"the payload of {fields['warc-record-id']} is damaged")
-                size = int(http_fields["content-length"]) if revisit else len(payload)
-                rows.append((_page(fields["warc-record-id"]), fields["warc-target-uri"], fields["warc-type"], _page(fields["warc-refers-to"]) if revisit else None, size, digest, None if revisit else payload))
-                if sum(len(r[6] or b"") for r in rows[-1:]) > CHUNK or len(rows) >= 500:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], schema.types[i]) for i in range(7)], schema=schema)
-                    rows = []
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], schema.types[i]) for i in range(7)], schema=schema)
+                row = _parsed(zlib.decompress(file.read(length), 31))
+                rows.append({c: row[c] for c in columns})
+                held += len(rows[-1].get("payload") or b"")
+                if held > BATCH_BYTES or len(rows) >= 2000:
+                    yield out()
+                    rows, held = [], 0
+        yield out()
         if file is not None:
             file.close()
 
-    return index.sortWithinPartitions("archive", "offset").mapInArrow(tidy(read), "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    kinds = ", ".join(f"{f.name} {_KINDS[f.type]}" for f in schema)
+    return index.sortWithinPartitions("archive", "offset").mapInArrow(tidy(read), kinds)
 
 
-def through_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def through_archives(pages: DataFrame, min_bytes: int = 0, columns: tuple[str, ...] = tuple(RECORD.names)) -> DataFrame:
     """Write pages as archives, normalise them, and read the records back by their index."""
     spark = pages.sparkSession
     bounded_batches(spark)
     folder = fresh_path(spark, "warc")
     raw = write_archives(pages, f"{folder}/raw", min_bytes)
     archives = normalise(raw, folder)
-    return read_records(read_index(spark, archives, folder))
+    return read_records(read_index(spark, archives, folder), columns)
