@@ -12,8 +12,9 @@ does not know yet with the tokenizers library and gathers the rest from arrays;
 of a direct call, and any other tokenizer goes through encode_batch.
 
 Defined cases: null and empty texts have the end id only; texts of any length are encoded whole; rows with
-equal doc_id are all kept, ordered by their text's hash and then arbitrarily among equal texts; an empty table
-gives no rows; other columns are ignored.
+equal doc_id are all kept, ordered by their text's hash and then arbitrarily among equal texts, and may lie in several
+files; an empty table gives no rows; other columns are ignored. Words are told apart by 64-bit hashes: a worker remembers at most
+MAX_WORDS, so that two of them share one with a chance of some 3e-8.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import fresh_path, map_arrow, text_input, tidy
+from .runtime import fresh_path, map_arrow, text_input, tidy, written
 from .textcore import NOT_SPACE, U, Block, blocks, run_hash, words
 
 END_ID = 1
@@ -34,6 +35,8 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 #: Words remembered by a Python worker; beyond it they are forgotten and learnt anew.
 MAX_WORDS = 1_000_000
+#: Up to so many files' offsets are broadcast, some 200 bytes each.
+MAX_BROADCAST_FILES = 50_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -227,7 +230,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str) -> None:
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
                 before += int(off[-1])
 
-    docs = text_input(documents).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # the last two keys split an id, or a row, that many rows share
+    docs = text_input(documents).repartitionByRange("doc_id", F.xxhash64("text"), F.rand(7)).sortWithinPartitions("doc_id", F.xxhash64("text"))
     out = docs.mapInArrow(tidy(make), "doc_id long, part_start long, n_tokens long, ids array<int>").write.option("compression", "zstd")
     settings = {"parquet.writer.version": "PARQUET_2_0", "parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES, "parquet.enable.dictionary": "true"}
     settings |= {f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "part_start", "n_tokens")}
@@ -237,16 +241,21 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str) -> None:
 
 
 def read_tokens(spark, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens and ids, from the files alone. The offsets of
-    the files come from their metadata columns; there is one row a file."""
+    """doc_id, start (ids of all documents before), n_tokens and ids, from the files alone. The offsets of the files come from
+    their metadata columns. There is one row a file, so that one task can add them up; files of one least id are in
+    the order of their names."""
     files = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
     sums = files.groupBy("file").agg(F.min("doc_id").alias("least"), F.sum("n_tokens").alias("n"))
-    from pyspark.sql import Window
-
-    before = F.sum("n").over(Window.orderBy("least", "file").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sums.select("file", F.coalesce(before, F.lit(0)).alias("before"))
+    before = F.sum("n").over(Window.orderBy("least", F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = written(sums.select("file", F.coalesce(before, F.lit(0)).alias("before")), "token-offsets")
+    offsets = F.broadcast(offsets) if offsets.count() <= MAX_BROADCAST_FILES else offsets
     start = (F.col("before") + F.col("part_start")).alias("start")
-    return files.join(F.broadcast(offsets), "file").select("doc_id", start, "n_tokens", "ids")
+    return files.join(offsets, "file").select("doc_id", start, "n_tokens", "ids")
+
+
+def read_range(spark, path: str, low: int, high: int) -> DataFrame:
+    """What read_tokens() has of the documents with ids from low to high, but for start. Other row groups and pages aren't read."""
+    return spark.read.parquet(path).filter(F.col("doc_id").between(low, high)).select("doc_id", "n_tokens", "ids")
 
 
 def token_digest(tokens: DataFrame) -> DataFrame:
