@@ -74,25 +74,60 @@ def quality_base(text):
     return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit), n < 50 or 100 * len(hit) > 50 * n
 
 
-def sentences(text, longest=12):
-    out = []
-    for s in re.split(r"[.!?\n]", (text or "").lower()):
-        w = LOWER_WORD.findall(s)
-        out += [tuple(w[k : k + longest]) for k in range(0, len(w), longest)]
-    return out
+_MASK = (1 << 64) - 1
+
 
+def _mixed(x):
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _MASK
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _MASK
+    return x ^ (x >> 31)
+
+
+def sentence_spans(rows, span=3, longest=12, near=3):
+    """(doc_id, n_sentences, n_removed, kept) by row, for distinct ids. Only the hashes of single words, which content-defined cuts
+    depend on, come from the library."""
+    from linkwright.llm.spans import _PLACE
+    from linkwright.llm.textcore import run_hash
 
-def sentence_spans(rows, span=3):
-    """(doc_id, n_sentences, n_removed), for distinct ids."""
     seen, out = set(), []
-    for i, t in sorted(rows):
-        s, gone = sentences(t), set()
-        for k in range(len(s) - span + 1):
-            key = tuple(s[k : k + span])
-            if key in seen:
-                gone |= set(range(k, k + span))
-            seen.add(key)
-        out.append((i, len(s), len(gone)))
+    for i, text in sorted(rows):
+        text = text or ""
+        found = list(re.finditer("[0-9A-Za-z_\x80-\U0010ffff]+", text))
+        w = [m[0].lower() for m in found]
+        raw = [x.encode() for x in w]
+        h = [int(run_hash(np.frombuffer(x, np.uint8), np.array([0]), np.array([len(x)]))[0]) for x in raw]
+        sentence = [len(re.findall(r"[.!?\n]", text[: m.start()])) for m in found]
+        n_of = Counter(sentence)
+        new = [k == 0 or sentence[k] != sentence[k - 1] for k in range(len(w))]
+        value = [_mixed((h[k] * int(_PLACE[0]) + h[k + 1] * int(_PLACE[1])) & _MASK) if k + 1 < len(w) and not new[k + 1] else _MASK for k in range(len(w))]
+        long = [n_of[s] > span * longest for s in sentence]
+        cut = list(new)
+        for k in range(len(w)):
+            mine = [j for j in range(max(0, k - near), min(len(w), k + near + 1)) if sentence[j] == sentence[k]]
+            cut[k] |= long[k] and all(value[k] < value[j] if j < k else value[k] <= value[j] for j in mine if j != k)
+
+        def parts(bounds):
+            firsts, since = [], 0
+            for k in range(len(w)):
+                since = 0 if bounds[k] else since + 1
+                if since % longest == 0:
+                    firsts.append(k)
+            return [(a, b) for a, b in zip(firsts, [*firsts[1:], len(w)])]
+
+        by_sentence, gone = parts(new), set()
+        for kind, p in (("sentence", by_sentence), ("passage", parts(cut))):
+            for k in range(len(p) - span + 1):
+                a, b = p[k][0], p[k + span - 1][1]
+                if kind == "passage" and not any(long[a:b]):
+                    continue
+                key = (kind, *(tuple(w[x:y]) for x, y in p[k : k + span]))
+                if key in seen:
+                    gone |= set(range(a, b))
+                seen.add(key)
+        ends = [m.start() for m in found[1:]] + [len(text)]
+        kept = text[: found[0].start()] if found else text
+        kept += "".join(text[m.start() : e] for k, (m, e) in enumerate(zip(found, ends)) if k not in gone)
+        out.append((i, len(by_sentence), sum(any(k in gone for k in range(*p)) for p in by_sentence), kept))
     return out
 
 

@@ -21,6 +21,7 @@ def docs_of(spark):
             from pyspark.sql import functions as F
 
             extra = ("tag", "node", "k", "g", "at", "items", "spans", "kept", "score", "ratio", "n", "h", "file", "_id", "_tag", "_keep_0", "features", "place", "start")
+            extra += ("_n_tokens", "_place", "_block", "_source", "_tie", "_weight", "_alpha", "_quota", "_order", "_n_source", "_n_copies", "_own", "_copy", "_within", "_before", "_bits", "key", "col", "with.dot")
             df = df.withColumns({c: F.lit("x") for c in extra})
         return df
 
