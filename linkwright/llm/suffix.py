@@ -12,9 +12,11 @@ twice as long, offset. A bucket that holds one suffix is closed, and so is every
 3. There the bucket's suffixes are refined (Buckets): identifiers of Q bytes are sorted in pairs (i, i + 32) into identifiers of 64
    bytes, those in pairs (i, i + 64) into 128, and those in pairs (i, i + LENGTH - 128) into LENGTH, each round reading
    what the one before wrote. Classes that survive are compared byte by byte.
-4. A bucket of more than MAX_PHRASES different phrases is not gathered in a task. Its suffixes are grouped across the cluster
-   by the pair of identifiers of their first and last 128 bytes, which are 64-bit names then: equality is agreement in 128 bits and
-   in the gram.
+4. A bucket of more than MAX_PHRASES different phrases is not gathered in a task but refined across the cluster, where identifiers are
+   64-bit names and pairs of them are grouped instead of sorted. Its phrases are cut into segments of SEGMENT suffixes, aligned to
+   the gram, whose buckets are told by the bytes that all suffixes of a segment share; a segment alone in its bucket is closed,
+   and equal ones go on as one. What is still open is told by the pair of identifiers of the first and last 128 bytes of every single
+   suffix. Equality is agreement in 128 bits and in the gram there.
 
 Defined cases: a null or empty text has no bytes and nothing removed; texts shorter than LENGTH keep everything; matches never
 cross texts; rows with equal id and equal text are separate texts, so that both lose all they share; a null id is an id like any
@@ -40,6 +42,7 @@ BLOCK = 1 << 18
 PIECE = 1 << 22
 #: Different phrases of a bucket that one task refines, about 270 bytes each.
 MAX_PHRASES = 1000
+SEGMENT = 16
 
 _A, _B = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 
@@ -126,7 +129,7 @@ def _longs(batch: pa.RecordBatch, *columns: str) -> list[np.ndarray]:
 
 
 def _table(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U else c, t) if isinstance(c, np.ndarray) else c for c, t in zip(columns, schema.types)], schema=schema)
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U else c, t) if isinstance(c, np.ndarray) else c for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
 def _expand(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,11 +162,32 @@ def _lists(rows: DataFrame, *what: str) -> DataFrame:
     return rows.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("at", *what)).alias("items"))
 
 
+def _cut_out(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The bytes of runs of suffixes."""
+    of, j = _expand(size + LENGTH - 1)
+    ends = np.concatenate([[0], np.cumsum(size + LENGTH - 1)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data[start[of] + j])])
+
+
+def _segments(names: Names, start: np.ndarray, size: np.ndarray, gram: np.ndarray):
+    """The segments of phrases: names of the bytes that their suffixes share and of themselves, first suffix, size, gram's place, and
+    the phrase. A suffix's distance d to its gram tells its segment, d // SEGMENT."""
+    low, high = gram - size + 1, gram
+    of, j = _expand(high // SEGMENT - low // SEGMENT + 1)
+    seg = low[of] // SEGMENT + j
+    lo, hi = np.maximum(seg * SEGMENT, low[of]), np.minimum(seg * SEGMENT + SEGMENT - 1, high[of])
+    p = start[of] + gram[of]
+    core = p - seg * SEGMENT
+    shared = _mix(_mix(names.of128(core), names.of128(core + LENGTH - SEGMENT + 1 - 128)), seg.astype(U))
+    own = _mix(_mix(names.full(p - hi), names.full(p - lo)), (lo * 256 + hi).astype(U))
+    return shared, own, p - hi, hi - lo + 1, hi, of
+
+
 def _open_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """What refinement needs of phrases (m, s, n, large, doc_id, tag, at): their bytes (a is s then), or if they are of a large bucket
-    a row for each suffix with the identifiers of its first and last 128 bytes (a, b)."""
+    """What refinement needs of phrases (m, s, n, large, doc_id, tag, at): themselves (a is s then), or if they are of a large bucket
+    their segments (a, b); with their bytes."""
     lists = written(_lists(phrases, "m", "s", "n", "large"), "repeat-lists")
-    schema = pa.schema([*((c, pa.int64()) for c in ("m", "a", "b", "n", "doc_id", "tag", "at")), ("data", pa.binary())])
+    schema = pa.schema([*((c, pa.int64()) for c in ("m", "a", "b", "n", "doc_id", "tag", "at")), ("large", pa.bool_()), ("data", pa.binary())])
 
     def make(batch):
         ids, tags = _longs(batch, "doc_id", "tag")
@@ -181,20 +205,49 @@ def _open_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
             for mask, split in ((here & ~big, False), (here & big, True)):
                 if not mask.any():
                     continue
-                i, r, place, width, g = mine[mask], b.first + row[mask], start[mask] + b.off[row[mask]] - base, size[mask], gram[mask]
+                i, r, shift = mine[mask], row[mask], b.off[row[mask]] - base
+                place, width, g = start[mask] + shift, size[mask], gram[mask]
+                a, own = s[i], np.zeros(len(i), np.int64)
                 if split:
-                    of, j = _expand(width)
-                    names, x = Names(b.data), place[of] + j
-                    one = np.ones(len(of), np.int64)
-                    new = _pack(start[mask][of] + j, one, np.maximum(g[of] - j, 0))
-                    yield _table(schema, m[i][of], names.of128(x), names.of128(x + LENGTH - 128), n[i][of], ids[r][of], tags[r][of], new, pa.nulls(len(of), pa.binary()))
-                else:
-                    of, j = _expand(width + LENGTH - 1)
-                    ends = np.concatenate([[0], np.cumsum(width + LENGTH - 1)]).astype(np.int32)
-                    data = pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer(ends), pa.py_buffer(b.data[place[of] + j])])
-                    yield _table(schema, m[i], s[i], np.zeros(len(i), np.int64), n[i], ids[r], tags[r], at[i], data)
+                    a, own, place, width, g, of = _segments(Names(b.data), place, width, g)
+                    i, r, shift = i[of], r[of], shift[of]
+                new = _pack(place - shift, width, g)
+                yield _table(schema, m[i], a, own, n[i], ids[b.first + r], tags[b.first + r], new, np.full(len(i), split), _cut_out(b.data, place, width))
+
+    return map_arrow(docs.join(lists, ["doc_id", "tag"]), make, "m long, a long, b long, n long, doc_id long, tag long, at long, large boolean, data binary")
+
+
+def _suffixes(segments: DataFrame) -> DataFrame:
+    """Every suffix of segments with their bytes, with the identifiers (a, b) of its first and last 128 bytes."""
+    schema = pa.schema([(c, pa.int64()) for c in ("m", "a", "b", "n", "doc_id", "tag", "at")])
 
-    return map_arrow(docs.join(lists, ["doc_id", "tag"]), make, "m long, a long, b long, n long, doc_id long, tag long, at long, data binary")
+    def make(batch):
+        m, n, ids, tags, at = _longs(batch, "m", "n", "doc_id", "tag", "at")
+        start, size, _ = _unpack(at)
+        data = np.frombuffer(b"".join(batch.column("data").to_pylist()), np.uint8)
+        names, first = Names(data), np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1)
+        of, j = _expand(size)
+        x = first[of] + j
+        yield _table(schema, m[of], names.of128(x), names.of128(x + LENGTH - 128), n[of], ids[of], tags[of], _pack(start[of] + j, np.ones(len(of), np.int64), np.zeros(len(of), np.int64)))
+
+    return map_arrow(segments.select("m", "n", "doc_id", "tag", "at", "data"), make, "m long, a long, b long, n long, doc_id long, tag long, at long")
+
+
+def _refined_across(segments: DataFrame) -> DataFrame:
+    """doc_id, tag, at of the runs that repeat, of segments of large buckets. n counts a segment of a phrase that is known elsewhere twice;
+    of such nothing more is to be found."""
+    key = ["doc_id", "tag", "at"]
+    shared = segments.groupBy("m", "a").agg(F.sum("n").alias("of"), F.min("b").alias("lo"), F.max("b").alias("hi")).filter("of > 1")
+    shared = written(shared.select("m", "a", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-shared")
+    left = written(segments.join(shared, ["m", "a"]), "repeat-segments")
+    mixed = left.filter("mixed")
+    whole = mixed.groupBy("m", "a", "b").agg(F.least(F.sum("n"), F.lit(2)).alias("n"), F.min(F.struct(*key)).alias("x"), F.first("data").alias("data"))
+    whole = written(whole.select("m", "a", "b", "n", "x.*", "data"), "repeat-wholes")
+    again = mixed.filter("n = 1").join(whole.filter("n > 1").select("m", "a", "b"), ["m", "a", "b"], "left_semi")
+    rows = written(_suffixes(whole), "repeat-suffixes")
+    equal = written(rows.groupBy("m", "a", "b").agg(F.sum("n").alias("of")).filter("of > 1").select("m", "a", "b"), "repeat-equal")
+    single = rows.filter("n = 1").join(equal, ["m", "a", "b"], "left_semi")
+    return left.filter("not mixed and n = 1").select(key).union(again.select(key)).union(single.select(key))
 
 
 class Buckets:
@@ -299,11 +352,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     large = written(whole.groupBy("m").agg(F.count("*").alias("of")).filter(F.col("of") > MAX_PHRASES).select("m", F.lit(True).alias("large")), "repeat-large")
     marked = whole.join(large, "m", "left").withColumn("large", F.coalesce("large", F.lit(False)))
     rows = written(_open_phrases(docs, marked), "repeat-open")
-    suffixes = rows.filter("data is null")
-    equal = written(suffixes.groupBy("m", "a", "b").agg(F.sum("n").alias("of")).filter("of > 1").select("m", "a", "b"), "repeat-equal")
-    spread = suffixes.filter("n = 1").join(equal, ["m", "a", "b"], "left_semi")
     out = left.filter("not mixed").select(key)
-    for found in (again, _refined(rows.filter("data is not null")), spread):
+    for found in (again, _refined(rows.filter("not large")), _refined_across(rows.filter("large"))):
         out = out.union(found.select(key))
     return out
 
