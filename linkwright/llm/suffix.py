@@ -42,6 +42,8 @@ BLOCK = 1 << 18
 PIECE = 1 << 22
 #: Different phrases of a bucket that one task refines, about 270 bytes each.
 MAX_PHRASES = 1000
+#: Bytes of phrases that are refined together, in whole buckets.
+WORK_BYTES = 1 << 20
 SEGMENT = 16
 
 _A, _B = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
@@ -322,6 +324,19 @@ def _refined(small: DataFrame) -> DataFrame:
         width = np.diff(np.append(b, len(of)))
         return _table(schema, ids[of[b]], tags[of[b]], _pack(start[of[b]] + j[b], width, np.zeros(len(b), np.int64)))
 
+    def in_parts(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """solve() of whole buckets of some WORK_BYTES."""
+        if not rows.num_rows:
+            return
+        m, at = rows.column("m").to_numpy(), rows.column("at").to_numpy()
+        begins = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
+        work = np.cumsum(_unpack(at)[1] + LENGTH - 1)[begins] // WORK_BYTES
+        ends = np.append(begins[1:][work[1:] != work[:-1]], len(m))
+        a = 0
+        for b in ends.tolist():
+            yield solve(rows.slice(a, b - a).combine_chunks())
+            a = b
+
     def run(batches):
         held = None
         for batch in batches:
@@ -329,11 +344,10 @@ def _refined(small: DataFrame) -> DataFrame:
             rows = rows if held is None else pa.concat_tables([held, rows])
             m = rows.column("m").to_numpy()
             whole = int(np.searchsorted(m, m[-1])) if len(m) else 0  # the last bucket may go on
-            if whole:
-                yield solve(rows.slice(0, whole))
+            yield from in_parts(rows.slice(0, whole))
             held = rows.slice(whole).combine_chunks()
-        if held is not None and held.num_rows:
-            yield solve(held)
+        if held is not None:
+            yield from in_parts(held)
 
     return small.repartition("m").sortWithinPartitions("m", "a").mapInArrow(tidy(run), "doc_id long, tag long, at long")
 

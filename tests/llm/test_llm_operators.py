@@ -152,7 +152,8 @@ def test_repeats_at_random(docs_of, monkeypatch, most):
 
 
 @pytest.mark.parametrize("ids", [lambda i: None, lambda i: i % 25])
-def test_repeats_of_many_texts_with_one_id(docs_of, ids):
+def test_repeats_of_many_texts_with_one_id(docs_of, ids, monkeypatch):
+    monkeypatch.setattr(suffix, "WORK_BYTES", 2000)
     rng = random.Random(4)
     text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
     shared = text(200)
