@@ -1,7 +1,8 @@
 """Similarities of pairs: set overlaps as Column expressions, edit ratios as Arrow UDFs over whole batches.
 
-Edit ratios rest on the longest common subsequence (LCS), whose length is computed bit-parallel for all pairs
-of a batch at once in 64-bit words, or in Python's long integers for strings of more than 64 characters.
+Edit ratios rest on the longest common subsequence (LCS), whose length is computed bit-parallel for all pairs of a batch at once in
+64-bit words, for the partial ratio for all windows of a pair too, or in Python's long integers where the shorter string has
+more than 64 characters.
 """
 
 from __future__ import annotations
@@ -48,27 +49,33 @@ def _codes(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def _lcs_words(a: np.ndarray, a_size: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """LCS lengths of the rows of a (at most 64 wide) and b."""
-    n = len(a)
-    symbols, inv = np.unique(a, return_inverse=True)
-    inv = inv.reshape(a.shape)
-    at = np.minimum(np.searchsorted(symbols, b), len(symbols) - 1)
-    known = (symbols[at] == b) & (b != 0)
-    masks = np.zeros((n, len(symbols)), np.uint64)
-    rows = np.arange(n)
-    for j in range(a.shape[1]):
-        live = j < a_size
-        masks[rows[live], inv[live, j]] |= np.uint64(1 << j)
-    s = np.full(n, _ONES)
-    for j in range(b.shape[1]):
-        m = np.where(known[:, j], masks[rows, at[:, j]], np.uint64(0))
-        u = s & m
-        s = (s + u) | (s - u)
-    width = np.where(a_size >= _WORD, _ONES, (np.uint64(1) << np.minimum(a_size, _WORD - 1).astype(np.uint64)) - np.uint64(1))
+def _masks(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """For every character of the rows of long the set of its places in the row of short (at most 64 wide) as bits."""
+    same = np.zeros((*long.shape, _WORD), bool)
+    same[:, :, : short.shape[1]] = (long[:, :, None] == short[:, None, :]) & (long[:, :, None] != 0)
+    return np.packbits(same, axis=2, bitorder="little").view("<u8")[:, :, 0]
+
+
+def _step(s: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    u = s & masks
+    return (s + u) | (s - u)
+
+
+def _matched(s: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """LCS lengths from final states, of strings of these sizes."""
+    width = np.where(size >= _WORD, _ONES, (np.uint64(1) << np.minimum(size, _WORD - 1).astype(np.uint64)) - np.uint64(1))
     return np.bitwise_count(~s & width).astype(np.int64)
 
 
+def _batches(order: np.ndarray, cells: np.ndarray):
+    """Runs of order whose cells together are at most _CELLS, or a single one."""
+    lo = 0
+    while lo < len(order):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(cells[order[lo : lo + 4096]]), _CELLS, "right")))
+        yield order[lo:hi]
+        lo = hi
+
+
 def _lcs_long(a: str, b: str) -> int:
     masks: dict[str, int] = {}
     for j, c in enumerate(a):
@@ -83,19 +90,18 @@ def _lcs_long(a: str, b: str) -> int:
 
 def lcs(a: list[str], b: list[str]) -> np.ndarray:
     out = np.zeros(len(a), np.int64)
-    swap = [(y, x) if len(x) > len(y) else (x, y) for x, y in zip(a, b)]
-    small = np.array([0 < len(x) <= _WORD for x, _ in swap], bool)
-    order = sorted(np.flatnonzero(small), key=lambda i: len(swap[i][1]))
-    lo = 0
-    while lo < len(order):
-        width = max(1, _CELLS // max(1, len(swap[order[min(len(order) - 1, lo + 4096)]][1])) // 16)
-        part = order[lo : lo + min(4096, width)]
-        codes, size = _codes([swap[i][0] for i in part])
-        out[part] = _lcs_words(codes, size, _codes([swap[i][1] for i in part])[0])
-        lo += len(part)
-    for i in np.flatnonzero(~small):
-        x, y = swap[i]
-        out[i] = _lcs_long(x, y) if x and y else 0
+    short, long = zip(*((y, x) if len(x) > len(y) else (x, y) for x, y in zip(a, b))) if len(a) else ((), ())
+    n, m = np.array([len(x) for x in long], np.int64), np.array([len(x) for x in short], np.int64)
+    fits = np.flatnonzero((m > 0) & (m <= _WORD))
+    for part in _batches(fits[np.argsort(n[fits], kind="stable")], n * _WORD):
+        codes, size = _codes([short[i] for i in part])
+        masks = _masks(codes, _codes([long[i] for i in part])[0])
+        s = np.full(len(part), _ONES)
+        for j in range(masks.shape[1]):
+            s = _step(s, masks[:, j])
+        out[part] = _matched(s, size)
+    for i in np.flatnonzero(m > _WORD):
+        out[i] = _lcs_long(short[i], long[i])
     return out
 
 
@@ -134,46 +140,71 @@ def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
+def _best_window(s: list[str], t: list[str]) -> np.ndarray:
+    """For strings s of one length, at most 64, and strings t that are no shorter: the best ratio of s with a window of t of that
+    length, or with a shorter prefix or suffix. All windows of all pairs go through the characters of s's length side by side."""
+    m, k = len(s[0]), len(s)
+    codes, n = _codes(t)
+    wide = codes.shape[1]
+    masks = np.zeros((k, wide + 2 * m - 2), np.uint64)  # a window may begin before t and end after it
+    masks[:, m - 1 : m - 1 + wide] = _masks(_codes(s)[0], codes)
+    windows = wide + m - 1
+    state = np.full((k, windows), _ONES)
+    for j in range(m):
+        state = _step(state, masks[:, j : j + windows])
+    begin = np.arange(windows) - (m - 1)
+    size = np.minimum(begin[None, :] + m, n[:, None]) - np.maximum(begin, 0)[None, :]
+    found = _matched(state, np.full((1, 1), m))
+    return np.where(size > 0, 2.0 * found / (m + np.maximum(size, 1)), 0.0).max(axis=1)
+
+
+def _best_window_long(s: str, t: str) -> float:
+    m = len(s)
+    parts = {t[max(0, k) : k + m] for k in range(1 - m, len(t))}
+    return max(2.0 * _lcs_long(s, p) / (m + len(p)) for p in parts)
+
+
 def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
     """The best ratio of the shorter string with any part of the longer one of its length, or a shorter prefix or suffix; for
     equal lengths both ways round. 1 for two empty strings, 0 if one is empty."""
-    out = np.array([1.0 if not x and not y else 0.0 for x, y in zip(a, b)])
-    short, part, owner, done = [], [], [], 0
-
-    def flush():
-        if short:
-            np.maximum.at(out, np.array(owner), indel_ratios(short, part))
-        short.clear(), part.clear(), owner.clear()
-
+    out = np.array([1.0 if x == y else 0.0 for x, y in zip(a, b)])
+    jobs = []  # shorter, longer, owner
     for i, (x, y) in enumerate(zip(a, b)):
-        if not x or not y:
-            continue
-        if x == y:
-            out[i] = 1.0
+        if x and y and x != y:
+            jobs += [(x, y, i), (y, x, i)] if len(x) == len(y) else [(x, y, i) if len(x) < len(y) else (y, x, i)]
+    m, n = (np.array([len(j[k]) for j in jobs], np.int64) for k in range(2))
+    for length in np.unique(m):
+        mine = np.flatnonzero(m == length)
+        mine = mine[np.argsort(n[mine], kind="stable")]
+        if length > _WORD:
+            for i in mine:
+                out[jobs[i][2]] = max(out[jobs[i][2]], _best_window_long(*jobs[i][:2]))
             continue
-        for s, t in [(x, y), (y, x)] if len(x) == len(y) else [(x, y) if len(x) < len(y) else (y, x)]:
-            m = len(s)
-            parts = {t[max(0, k) : k + m] for k in range(1 - m, len(t))}
-            short.extend([s] * len(parts))
-            part.extend(parts)
-            owner.extend([i] * len(parts))
-            done += len(parts)
-        if len(short) > 200_000:
-            flush()
-    flush()
+        for part in _batches(mine, n * _WORD):
+            best = _best_window([jobs[i][0] for i in part], [jobs[i][1] for i in part])
+            np.maximum.at(out, np.array([jobs[i][2] for i in part]), best)
     return out
 
 
 RATIOS = {"levenshtein": indel_ratios, "token_sort": token_sort_ratios, "token_set": token_set_ratios, "partial": partial_ratios}
 
 
-def _guarded(name: str, a: list[str], b: list[str]) -> np.ndarray:
-    """1 for two empty strings, 0 if one is empty, else the ratio; equal pairs are measured once."""
+def _ratios(names: tuple[str, ...], a: list[str], b: list[str]) -> dict[str, np.ndarray]:
+    """1 for two empty strings, 0 if one is empty, else the ratio. A pair that comes several times is measured once, and equal strings
+    of words not at all."""
     pairs: dict[tuple[str, str], int] = {}
     at = np.array([pairs.setdefault(p, len(pairs)) for p in zip(a, b)], np.int64)
-    x, y = [p[0] for p in pairs], [p[1] for p in pairs]
-    both, one = np.array([not p and not q for p, q in pairs], bool), np.array([bool(p) != bool(q) for p, q in pairs], bool)
-    return np.where(both, 1.0, np.where(one, 0.0, RATIOS[name](x, y)))[at] if len(pairs) else np.zeros(0)
+    known = np.array([1.0 if x == y and (not x or x.strip()) else 0.0 if not x or not y else -1.0 for x, y in pairs])
+    rest = np.flatnonzero(known < 0)
+    every = list(pairs)
+    x, y = [every[i][0] for i in rest], [every[i][1] for i in rest]
+    out = {}
+    for name in names:
+        value = known.copy()
+        if len(rest):
+            value[rest] = RATIOS[name](x, y)
+        out[name] = value[at] if len(at) else np.zeros(0)
+    return out
 
 
 def _udf(names: tuple[str, ...]):
@@ -182,7 +213,7 @@ def _udf(names: tuple[str, ...]):
     @F.pandas_udf(schema)
     def ratios(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         x, y = a.fillna("").tolist(), b.fillna("").tolist()
-        return pd.DataFrame({n: _guarded(n, x, y) for n in names})
+        return pd.DataFrame(_ratios(names, x, y))
 
     return ratios
 
