@@ -43,20 +43,16 @@ def fine_grid(best: float) -> list[float]:
 
 def sweep(entities: DataFrame, truth: DataFrame, assigned: DataFrame, grid: list[float]) -> DataFrame:
     """threshold, f05_macro for every threshold of the grid, from one assignment (sid, cid, p): above any threshold it is
-    what resolving at that threshold gives. Pairs are counted once by the number of thresholds they pass, and summed up
-    from there, so rows grow with the grid only by entity."""
+    what resolving at that threshold gives. Every entity is one row with a number of pairs and of hits for each threshold."""
     grid = sorted(grid)
-    spark = entities.sparkSession
-    hit = truth.select("sid", "cid", F.lit(1).alias("t"))
-    passed = sum((F.when(F.col("p") >= F.lit(t), 1).otherwise(0) for t in grid), F.lit(0))
-    pairs = assigned.join(entities.select("sid"), "sid", "left_semi").join(hit, ["sid", "cid"], "left").withColumn("passed", passed)
-    steps = pairs.groupBy("sid", "passed").agg(F.count("*").alias("n"), F.count("t").alias("h"))
+    pairs = assigned.join(truth.select("sid", "cid", F.lit(True).alias("t")), ["sid", "cid"], "left")
+    passed = [F.count_if(F.col("p") >= F.lit(t)).alias(f"n{i}") for i, t in enumerate(grid)]
+    hit = [F.count_if((F.col("p") >= F.lit(t)) & F.coalesce("t", F.lit(False))).alias(f"h{i}") for i, t in enumerate(grid)]
     true = truth.groupBy("sid").agg(F.count("*").alias("n_true"))
-    levels = spark.createDataFrame([(t, i + 1) for i, t in enumerate(grid)], "threshold double, level int")
-    rows = entities.select("sid").join(true, "sid", "left").crossJoin(F.broadcast(levels))
-    reached = steps.join(F.broadcast(levels), F.col("passed") >= F.col("level")).groupBy("sid", "level").agg(F.sum("n").alias("n_pred"), F.sum("h").alias("n_hit"))
-    rows = rows.join(reached, ["sid", "level"], "left").na.fill(0, ["n_true", "n_pred", "n_hit"])
-    return rows.groupBy("threshold").agg(F.coalesce(F.avg(f05(F.col("n_true"), F.col("n_pred"), F.col("n_hit"))), F.lit(0.0)).alias("f05_macro"))
+    rows = entities.select("sid").join(true, "sid", "left").join(pairs.groupBy("sid").agg(*passed, *hit), "sid", "left").na.fill(0)
+    means = [F.coalesce(F.avg(f05(F.col("n_true"), F.col(f"n{i}"), F.col(f"h{i}"))), F.lit(0.0)) for i in range(len(grid))]
+    swept = rows.agg(F.array(*[F.struct(F.lit(t).alias("threshold"), m.alias("f05_macro")) for t, m in zip(grid, means)]).alias("s"))
+    return swept.select(F.inline("s"))
 
 
 def best_of(swept: DataFrame) -> tuple[float, float]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
+from ..sources.storage import written
 from ..sources.tsv import read_ids
 
 SHOWN = 5
@@ -96,42 +97,51 @@ def examples(rows: DataFrame) -> DataFrame:
     return listed.select("rule", F.size("s").cast("long").alias("n"), F.array_join(F.slice(F.array_sort("s"), 1, SHOWN), ",").alias("first"))
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame | None:
-    """value and line (from 0) of a file. Tasks number their own lines; what comes before a task is added from a table
-    of one row a task."""
+def lines_of(spark: SparkSession, path: str) -> DataFrame | None:
+    """value, line (from 0) and is_first (of its file) of the lines of a file, or of a folder's files in the order of their names.
+    Tasks number their own lines; what comes before a part of a file is added from a table of one row a part."""
     try:
-        rows = spark.read.text(path).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
-        sums = rows.groupBy("_part").agg(F.count("*").alias("_n"))
-        before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return rows.join(F.broadcast(sums.select("_part", before.alias("_before"))), "_part").select("value", (F.col("_at") + F.col("_before")).alias("line"))
+        rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
+    rows = written(rows, "lines")
+    sums = rows.groupBy("_file", "_start").agg(F.count("*").alias("_n"), F.min("_at").alias("_least"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = rows.join(sums.withColumn("_before", before), ["_file", "_start"])
+    return numbered.select("value", (F.col("_at") - F.col("_least") + F.col("_before")).alias("line"), ((F.col("_start") == 0) & (F.col("_at") == F.col("_least"))).alias("is_first"))
+
+
+def without_tab(lines: DataFrame) -> DataFrame:
+    """The lines that are neither blank nor have a tab."""
+    return lines.filter((F.trim("value") != "") & ~F.col("value").contains("\t"))
 
 
 def check_file(spark: SparkSession, path: str, header: tuple[str, str], label: str, required: DataFrame | None, known: DataFrame | None, report: Report) -> DataFrame | None:
     """The file's lists, or None if it can't be read; problems go to the report."""
-    lines = _lines(spark, path)
+    lines = lines_of(spark, path)
     if lines is None:
         report.errors.append(f"{label}: the file is missing: {path}")
         return None
-    head = lines.orderBy("line").first()
-    if head is None or not head["value"].strip():
+    # every file of a folder has a header
+    heads = [r["value"] for r in lines.filter("is_first").select("value").distinct().orderBy("value").limit(SHOWN).collect()]
+    if not any(h.strip() for h in heads):
         report.errors.append(f"{label}: the file is empty")
         return None
     if lines.filter(~F.is_valid_utf8("value")).head(1):
         report.errors.append(f"{label}: the file isn't UTF-8")
         return None
-    names = [x.strip().lower() for x in head["value"].lstrip("﻿").split("\t")]
-    if len(names) == 1 and "," in names[0]:
-        report.errors.append(f"{label}: the header has commas; fields must be separated by tabs")
-        return None
-    if names != list(header):
-        report.errors.append(f"{label}: the header is {names}, not {list(header)}")
-        return None
-    body = lines.filter((F.col("line") > head["line"]) & (F.trim("value") != ""))
-    bad = body.filter(~F.col("value").contains("\t"))
+    for head in heads:
+        names = [x.strip().lower() for x in head.lstrip("\ufeff").split("\t")]
+        if len(names) == 1 and "," in names[0]:
+            report.errors.append(f"{label}: the header has commas; fields must be separated by tabs")
+            return None
+        if names != list(header):
+            report.errors.append(f"{label}: the header is {names}, not {list(header)}")
+            return None
+    body = lines.filter(~F.col("is_first") & (F.trim("value") != ""))
+    bad = without_tab(body)
     if n := bad.count():
         at = [r["line"] + 1 for r in bad.orderBy("line").limit(SHOWN).collect()]
         report.errors.append(f"{label}: {n} rows without a tab, in lines {at}")
@@ -156,6 +166,11 @@ def check_file(spark: SparkSession, path: str, header: tuple[str, str], label: s
     return lists
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def validate(spark: SparkSession, matching: str, candidates: str | None, test_dir: str, check_ids: bool = False) -> Report:
     """Check the result files against the sources in test_dir."""
     report = Report()
@@ -167,7 +182,7 @@ def validate(spark: SparkSession, matching: str, candidates: str | None, test_di
         except AnalysisException:
             report.warnings.append("sources 2 and 3 are missing; ids aren't looked up")
     lists = check_file(spark, matching, L.MATCHING_HEADER, "matching", required, known, report)
-    if candidates is None or _lines(spark, candidates) is None:
+    if candidates is None or not exists(spark, candidates):
         report.warnings.append("there is no candidate file")
         return report
     cands = check_file(spark, candidates, L.CANDIDATE_HEADER, "candidates", required, known, report)

@@ -15,8 +15,10 @@ from ..functions import lexicon as L
 from ..functions import tokens as T
 from .blocking import top
 
-#: Records of a block; two blocks meet in one task. A block of S23 holds about 100 MB of terms and weights.
+#: Records of a block; two blocks meet in one task. A block of S23 holds about 100 MB of terms and weights. A country of fewer
+#: S1 records than SPREAD blocks hold is split into blocks of at least ROWS_LEAST, so that it isn't the work of one task.
 ROWS_S1, ROWS_S23 = 4096, 65_536
+SPREAD, ROWS_LEAST = 16, 128
 
 
 def gram_rows(records: DataFrame) -> DataFrame:
@@ -122,7 +124,8 @@ def cosine_candidates(v1: DataFrame, v23: DataFrame, k: int = L.TOP_COSINE) -> D
     cid. Every block of S1 meets every block of S23 of its country in a sparse product that gives back only its best
     k a row, so what is shuffled is each side once for each block of the other, and k rows a product; the scores
     themselves never leave a task. The number of blocks follows the country's size; a block never grows."""
-    n1 = v1.groupBy("country_norm").agg(F.ceil(F.count_distinct("entity_id") / ROWS_S1).cast("int").alias("n1"))
+    n = F.count_distinct("entity_id")
+    n1 = v1.groupBy("country_norm").agg(F.greatest(F.ceil(n / ROWS_S1), F.least(F.lit(SPREAD), F.ceil(n / ROWS_LEAST))).cast("int").alias("n1"))
     n2 = v23.groupBy("country_norm").agg(F.ceil(F.count_distinct("entity_id") / ROWS_S23).cast("int").alias("n2"))
     grid = n1.join(n2, "country_norm")
     block = lambda n: F.pmod(F.xxhash64("entity_id"), F.col(n)).cast("int")

@@ -1,6 +1,6 @@
 """The library's queries, each with its SQL twin where SQL can express it.
 
-Unless a query is about the cosine channel, candidates are those of the token channel, and scores are the surrogate's.
+Unless a query is about one channel, candidates are those of both channels, and scores are the surrogate's.
 """
 
 from __future__ import annotations
@@ -45,16 +45,25 @@ def _sorted(x: str) -> str:
     return f"array_to_string(list_sort({x}), '|')"
 
 
+def _records(spark, sf_dir) -> Records:
+    return Records(spark, sf_dir, once=True)
+
+
 def _tokens_of(r: Records) -> DataFrame:
     return B.token_candidates(r.s1, r.s23)
 
 
-def _scored(r: Records) -> DataFrame:
-    return linkage.scored_by_surrogate(_tokens_of(r), r.s1, r.s23)
+def _candidates(r: Records) -> DataFrame:
+    """Of both channels; the vocabulary counts all records."""
+    return linkage.block(r.s1, r.s23, None)
+
 
+def _scored(r: Records, candidates: DataFrame | None = None) -> DataFrame:
+    return linkage.scored_by_surrogate(_candidates(r) if candidates is None else candidates, r.s1, r.s23)
 
-def _assigned(r: Records) -> DataFrame:
-    return resolve.resolve(_scored(r), linkage.SURROGATE_THRESHOLD)
+
+def _assigned(r: Records, candidates: DataFrame | None = None) -> DataFrame:
+    return resolve.resolve(_scored(r, candidates), linkage.SURROGATE_THRESHOLD)
 
 
 # --- sources and sinks ---
@@ -96,15 +105,15 @@ def truth_summary(spark, sf_dir):
 @query(Q.sql("SELECT source1_entity_id, matched_entity_ids FROM mat", "mat"))
 def matching_output(spark, sf_dir):
     """Records to matching lists in one plan: normalise, block, score, resolve, list."""
-    r = Records(spark, sf_dir)
+    r = _records(spark, sf_dir)
     return resolve.matching_lists(r.s1, _assigned(r)).drop("row_pos")
 
 
 @query(Q.sql("SELECT source1_entity_id, candidate_entity_ids FROM can", "can"))
 def candidate_output(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    cands = _tokens_of(r)
-    return resolve.candidate_lists(r.s1, cands.withColumnRenamed("tok_rank", "rank"), _assigned(r)).drop("row_pos")
+    r = _records(spark, sf_dir)
+    cands = _candidates(r)
+    return resolve.candidate_lists(r.s1, cands, _assigned(r, cands)).drop("row_pos")
 
 
 @query(Q.sql("SELECT entity_id, business_name FROM rec ORDER BY row_pos LIMIT 100", "rec"))
@@ -200,12 +209,12 @@ def record_vectors(spark, sf_dir):
     return vectors.record_vectors(r.all, vectors.vocabulary(vectors.fit_rows(r.all, None))).withColumn("weight", F.round("weight", 6))
 
 
-# --- pairwise similarities, of the token channel's candidates ---
+# --- pairwise similarities of candidates ---
 
 
 def _paired(spark, sf_dir) -> DataFrame:
-    r = Records(spark, sf_dir)
-    return X.paired(_tokens_of(r).select("sid", "cid"), r.s1, r.s23)
+    r = _records(spark, sf_dir)
+    return X.paired(_candidates(r).select("sid", "cid"), r.s1, r.s23)
 
 
 def _set_query(name: str, feature, sql: str) -> None:
@@ -274,8 +283,8 @@ def combined_features(spark, sf_dir):
 @query(Q.sql("SELECT pr.sid, pr.cid, " + ", ".join(f"round(({SET_SQL[c] if c in SET_SQL else f'cmb.{c}'})::FLOAT::DOUBLE, 5) AS {c}" for c in L.FEATURES) + " FROM pr JOIN cmb ON cmb.sid = pr.sid AND cmb.cid = pr.cid", "pr", "cmb"))
 def pair_features(spark, sf_dir):
     """All 29 values. They are floats; as doubles of 5 digits they can be compared."""
-    r = Records(spark, sf_dir)
-    out = X.pair_features(_tokens_of(r).select("sid", "cid"), r.s1, r.s23)
+    r = _records(spark, sf_dir)
+    out = X.pair_features(_candidates(r).select("sid", "cid"), r.s1, r.s23)
     return out.select("sid", "cid", *[F.round(F.col(c).cast("double"), 5).alias(c) for c in L.FEATURES])
 
 
@@ -293,53 +302,47 @@ def token_topk(spark, sf_dir):
     return _tokens_of(Records(spark, sf_dir))
 
 
-def _cosine(spark, sf_dir) -> tuple[Records, DataFrame]:
-    r = Records(spark, sf_dir)
-    vocab = written(vectors.vocabulary(vectors.fit_rows(r.all, None)), "vocabulary")
-    return r, vectors.cosine_candidates(vectors.record_vectors(r.s1, vocab), vectors.record_vectors(r.s23, vocab))
-
-
 @query(Q.sql("SELECT sid, cid, score, cos_rank FROM cos", "cos"))
 def cosine_topk(spark, sf_dir):
-    return _cosine(spark, sf_dir)[1]
+    r = _records(spark, sf_dir)
+    return linkage.cosine_channel(r.s1, r.s23, None)
 
 
 @query(Q.sql("SELECT sid, cid, cos_rank, tok_rank, rank FROM uni", "uni"))
 def candidate_union(spark, sf_dir):
-    r, cosine = _cosine(spark, sf_dir)
-    return B.candidate_union(cosine, _tokens_of(r))
+    return _candidates(_records(spark, sf_dir)).select("sid", "cid", "cos_rank", "tok_rank", "rank")
 
 
-@query(Q.sql("SELECT entity_id AS sid, coalesce(n, 0) AS n_candidates FROM s1 LEFT JOIN (SELECT sid, count(*) AS n FROM tok GROUP BY sid) ON sid = entity_id", "s1", "tok"))
+@query(Q.sql("SELECT entity_id AS sid, coalesce(n, 0) AS n_candidates FROM s1 LEFT JOIN (SELECT sid, count(*) AS n FROM uni GROUP BY sid) ON sid = entity_id", "s1", "uni"))
 def candidates_per_entity(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    return B.candidates_per_entity(r.s1, _tokens_of(r))
+    r = _records(spark, sf_dir)
+    return B.candidates_per_entity(r.s1, _candidates(r))
 
 
-@query(Q.sql("SELECT count(*) AS n_entities, sum(n)::BIGINT AS n_candidates, round(avg(n), 6) AS per_entity FROM (SELECT entity_id, count(sid) AS n FROM s1 LEFT JOIN tok ON sid = entity_id GROUP BY entity_id)", "s1", "tok"))
+@query(Q.sql("SELECT count(*) AS n_entities, sum(n)::BIGINT AS n_candidates, round(avg(n), 6) AS per_entity FROM (SELECT entity_id, count(sid) AS n FROM s1 LEFT JOIN uni ON sid = entity_id GROUP BY entity_id)", "s1", "uni"))
 def candidate_stats(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    each = B.candidates_per_entity(r.s1, _tokens_of(r))
+    r = _records(spark, sf_dir)
+    each = B.candidates_per_entity(r.s1, _candidates(r))
     return each.agg(F.count("*").alias("n_entities"), F.sum("n_candidates").alias("n_candidates"), F.round(F.avg("n_candidates"), 6).alias("per_entity"))
 
 
-@query(Q.sql("SELECT sid, cid FROM tok WHERE cid IN (SELECT entity_id FROM s23 WHERE name_norm <> '')", "tok", "s23"))
+@query(Q.sql("SELECT sid, cid FROM uni WHERE cid IN (SELECT entity_id FROM s23 WHERE name_norm <> '')", "uni", "s23"))
 def semi_existing(spark, sf_dir):
     """Candidates whose record is in the store, here the records that have a name."""
-    r = Records(spark, sf_dir)
-    return B.existing(_tokens_of(r).select("sid", "cid"), r.s23.filter(F.col("name_norm") != ""))
+    r = _records(spark, sf_dir)
+    return B.existing(_candidates(r).select("sid", "cid"), r.s23.filter(F.col("name_norm") != ""))
 
 
 @query(Q.sql("SELECT sid, cid FROM sco WHERE is_exact", "sco"))
 def exact_matches(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    return B.with_exact(_tokens_of(r), r.s1, r.s23).filter("is_exact").select("sid", "cid")
+    r = _records(spark, sf_dir)
+    return B.with_exact(_candidates(r), r.s1, r.s23).filter("is_exact").select("sid", "cid")
 
 
 @query(Q.sql("SELECT sid, cid FROM sco WHERE NOT is_exact", "sco"))
 def non_exact(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    return B.with_exact(_tokens_of(r), r.s1, r.s23).filter("not is_exact").select("sid", "cid")
+    r = _records(spark, sf_dir)
+    return B.with_exact(_candidates(r), r.s1, r.s23).filter("not is_exact").select("sid", "cid")
 
 
 _SPLIT = "SELECT sid, r <= floor(n * 0.15) AS is_validation FROM (SELECT sid, row_number() OVER (ORDER BY md5(sid), sid) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT sid FROM truth))"
@@ -360,8 +363,8 @@ def split_records(spark, sf_dir):
 
 @query(Q.sql("SELECT sid, cid, label FROM lab", "lab"))
 def label_pairs(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    return pairs.label_pairs(_tokens_of(r).select("sid", "cid"), r.truth)
+    r = _records(spark, sf_dir)
+    return pairs.label_pairs(_candidates(r).select("sid", "cid"), r.truth)
 
 
 @query(Q.sql("SELECT sid, cid, label FROM neg", "neg"))
@@ -369,23 +372,22 @@ def hard_negatives(spark, sf_dir):
     return pairs.hard_negatives(label_pairs(spark, sf_dir))
 
 
-@query(Q.sql("SELECT sid, cid, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(sid || '|' || cid), sid, cid) AS r, (SELECT least(20, count(*)) FROM neg WHERE label = 1) AS p FROM neg) WHERE (label = 1 AND r <= 20) OR (label = 0 AND r <= 100 - p)", "neg"))
+@query(Q.sql(f"SELECT sid, cid, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(sid || '|' || cid), sid, cid) AS r, (SELECT least({L.MAX_POSITIVES}, count(*)) FROM neg WHERE label = 1) AS p FROM neg) WHERE (label = 1 AND r <= {L.MAX_POSITIVES}) OR (label = 0 AND r <= {L.MAX_PAIRS} - p)", "neg"))
 def pair_budget(spark, sf_dir):
-    """The budget operator, with a budget small enough to bind here."""
-    return pairs.pair_budget(hard_negatives(spark, sf_dir), 20, 100)
+    return pairs.pair_budget(written(hard_negatives(spark, sf_dir), "pairs"))
 
 
 # --- metrics ---
 
 
-@query(Q.sql("SELECT count(*) AS n_truth, count(tok.cid) AS n_found, CASE WHEN count(*) = 0 THEN 1.0 ELSE round(count(tok.cid)::DOUBLE / count(*), 6) END::DOUBLE AS recall FROM truth LEFT JOIN tok ON tok.sid = truth.sid AND tok.cid = truth.cid", "truth", "tok"))
+@query(Q.sql("SELECT count(*) AS n_truth, count(uni.cid) AS n_found, CASE WHEN count(*) = 0 THEN 1.0 ELSE round(count(uni.cid)::DOUBLE / count(*), 6) END::DOUBLE AS recall FROM truth LEFT JOIN uni ON uni.sid = truth.sid AND uni.cid = truth.cid", "truth", "uni"))
 def blocking_recall(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    return metrics.blocking_recall(r.truth, _tokens_of(r)).withColumn("recall", F.round("recall", 6))
+    r = _records(spark, sf_dir)
+    return metrics.blocking_recall(r.truth, _candidates(r)).withColumn("recall", F.round("recall", 6))
 
 
 def _per_entity(spark, sf_dir) -> DataFrame:
-    r = Records(spark, sf_dir)
+    r = _records(spark, sf_dir)
     return metrics.f05_per_entity(r.s1.select(F.col("entity_id").alias("sid")), r.truth, _assigned(r))
 
 
@@ -399,36 +401,46 @@ def f05_macro(spark, sf_dir):
     return metrics.f05_macro(_per_entity(spark, sf_dir)).withColumn("f05_macro", F.round("f05_macro", 6))
 
 
-_GRID = ", ".join(f"({t}::DOUBLE)" for t in metrics.coarse_grid())
+def _swept(grid: list[float]) -> str:
+    values = ", ".join(f"({t}::DOUBLE)" for t in grid)
+    return (
+        f"SELECT threshold, avg({Q.f05('n_true', 'n_pred', 'n_hit')}) AS f05_macro FROM ("
+        "SELECT e.sid, g.threshold, coalesce(any_value(t.n), 0) AS n_true, count(b.cid) AS n_pred, count(h.cid) AS n_hit "
+        f"FROM (SELECT DISTINCT sid FROM uni) e CROSS JOIN (VALUES {values}) g(threshold) LEFT JOIN (SELECT sid, count(*) AS n FROM truth GROUP BY sid) t ON t.sid = e.sid "
+        "LEFT JOIN bst b ON b.sid = e.sid AND b.p >= g.threshold LEFT JOIN truth h ON h.sid = b.sid AND h.cid = b.cid GROUP BY 1, 2) GROUP BY threshold"
+    )
+
+
+def _entities_and_assigned(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    r = _records(spark, sf_dir)
+    cands = _candidates(r)
+    assigned = written(resolve.best_per_candidate(_scored(r, cands)), "assigned")
+    return cands.select("sid").distinct(), r.truth, assigned
+
+
+@query(Q.sql(f"SELECT threshold, round(f05_macro, 6) AS f05_macro FROM ({_swept(metrics.coarse_grid())})", "uni", "bst", "truth"))
+def threshold_sweep(spark, sf_dir):
+    return metrics.sweep(*_entities_and_assigned(spark, sf_dir), metrics.coarse_grid()).withColumn("f05_macro", F.round("f05_macro", 6))
+
+
+_EVERY = [round(0.5 + 0.005 * i, 3) for i in range(98)]
+Q.CTES["swept"] = (("uni", "bst", "truth"), _swept(_EVERY))
+_BEST = "ORDER BY round(f05_macro, 12) DESC, threshold LIMIT 1"
+Q.CTES["coarse"] = (("swept",), f"SELECT threshold, f05_macro FROM swept WHERE threshold IN ({', '.join(f'{t}::DOUBLE' for t in metrics.coarse_grid())}) {_BEST}")
 
 
 @query(
     Q.sql(
-        f"SELECT threshold, round(avg({Q.f05('n_true', 'n_pred', 'n_hit')}), 6) AS f05_macro FROM ("
-        "SELECT e.sid, g.threshold, coalesce(any_value(t.n), 0) AS n_true, count(b.cid) AS n_pred, count(h.cid) AS n_hit "
-        f"FROM (SELECT DISTINCT sid FROM tok) e CROSS JOIN (VALUES {_GRID}) g(threshold) LEFT JOIN (SELECT sid, count(*) AS n FROM truth GROUP BY sid) t ON t.sid = e.sid "
-        "LEFT JOIN bst b ON b.sid = e.sid AND b.p >= g.threshold LEFT JOIN truth h ON h.sid = b.sid AND h.cid = b.cid GROUP BY 1, 2) GROUP BY threshold",
-        "tok",
-        "bst",
-        "truth",
+        f"SELECT CASE WHEN b.f05_macro = 0 AND c.f05_macro = 0 THEN {L.DEFAULT_THRESHOLD}::DOUBLE WHEN round(b.f05_macro, 12) > round(c.f05_macro, 12) THEN b.threshold ELSE c.threshold END AS threshold, "
+        "round(greatest(b.f05_macro, c.f05_macro), 6) AS f05_macro FROM coarse c CROSS JOIN LATERAL ("
+        f"SELECT threshold, f05_macro FROM swept WHERE abs(threshold - CASE WHEN c.f05_macro = 0 THEN {L.DEFAULT_THRESHOLD}::DOUBLE ELSE c.threshold END) < 0.0401 {_BEST}) b",
+        "coarse",
     )
 )
-def threshold_sweep(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    cands = written(_tokens_of(r), "candidates")
-    assigned = written(resolve.best_per_candidate(linkage.scored_by_surrogate(cands, r.s1, r.s23)), "assigned")
-    swept = metrics.sweep(cands.select("sid").distinct(), r.truth, assigned, metrics.coarse_grid())
-    return swept.withColumn("f05_macro", F.round("f05_macro", 6))
-
-
-@query()
 def tuned_threshold(spark, sf_dir):
     """The coarse and the fine search together."""
-    r = Records(spark, sf_dir)
-    cands = written(_tokens_of(r), "candidates")
-    assigned = written(resolve.best_per_candidate(linkage.scored_by_surrogate(cands, r.s1, r.s23)), "assigned")
-    best = metrics.tune_threshold(cands.select("sid").distinct(), r.truth, assigned)
-    return spark.createDataFrame([best], "threshold double, f05_macro double")
+    best = metrics.tune_threshold(*_entities_and_assigned(spark, sf_dir))
+    return spark.createDataFrame([best], "threshold double, f05_macro double").withColumn("f05_macro", F.round("f05_macro", 6))
 
 
 @query(Q.sql("SELECT count(*) AS n_entities, count(*) FILTER (matched_entity_ids <> '') AS n_matched, count(*) FILTER (matched_entity_ids = '') AS n_singletons, sum(CASE WHEN matched_entity_ids = '' THEN 0 ELSE len(string_split(matched_entity_ids, ',')) END)::BIGINT AS n_matches FROM mat", "mat"))
@@ -450,16 +462,20 @@ def source_counts(spark, sf_dir):
 
 
 def _model(spark, sf_dir):
+    """The candidates that aren't exact with their features, and the model fitted on a sample of all labelled candidates."""
     from ..operators import model
 
-    r = Records(spark, sf_dir)
-    sampled = pairs.hard_negatives(pairs.label_pairs(_tokens_of(r).select("sid", "cid"), r.truth))
-    features = written(X.pair_features(sampled, r.s1, r.s23, keep=("label",)), "features")
-    return features, model.train(features, maxIter=10, maxDepth=5)
+    r = _records(spark, sf_dir)
+    cands = _candidates(r).select("sid", "cid")
+    sampled = pairs.pair_budget(written(pairs.hard_negatives(pairs.label_pairs(cands, r.truth)), "pairs"))
+    fitted = model.train(written(X.pair_features(sampled, r.s1, r.s23, keep=("label",)), "features"))
+    rest = B.with_exact(cands, r.s1, r.s23).filter("not is_exact")
+    return X.pair_features(rest.select("sid", "cid"), r.s1, r.s23), fitted
 
 
 @query()
 def gbt_train_score(spark, sf_dir):
+    """A probability for every candidate that isn't exact."""
     from ..operators import model
 
     features, fitted = _model(spark, sf_dir)
@@ -475,7 +491,7 @@ def feature_importance(spark, sf_dir):
 
 @query(Q.sql("SELECT sid, cid, p FROM sco", "sco"))
 def surrogate_score(spark, sf_dir):
-    return _scored(Records(spark, sf_dir)).select("sid", "cid", "p")
+    return _scored(_records(spark, sf_dir)).select("sid", "cid", "p")
 
 
 # --- assignment ---
@@ -483,12 +499,12 @@ def surrogate_score(spark, sf_dir):
 
 @query(Q.sql("SELECT sid, cid, p, is_exact FROM bst", "bst"))
 def bipartite_resolve(spark, sf_dir):
-    return resolve.best_per_candidate(_scored(Records(spark, sf_dir)))
+    return resolve.best_per_candidate(_scored(_records(spark, sf_dir)))
 
 
 @query(Q.sql("SELECT sid, cid, p FROM res", "res"))
 def threshold_filter(spark, sf_dir):
-    return _assigned(Records(spark, sf_dir)).select("sid", "cid", "p")
+    return _assigned(_records(spark, sf_dir)).select("sid", "cid", "p")
 
 
 # --- set operations ---
@@ -501,16 +517,16 @@ def union_sources(spark, sf_dir):
     return part("S2-").unionByName(part("S3-"))
 
 
-@query(Q.sql("SELECT sid, cid FROM truth INTERSECT SELECT sid, cid FROM tok", "truth", "tok"))
+@query(Q.sql("SELECT sid, cid FROM truth INTERSECT SELECT sid, cid FROM uni", "truth", "uni"))
 def truth_intersect(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    return r.truth.intersect(_tokens_of(r).select("sid", "cid"))
+    r = _records(spark, sf_dir)
+    return r.truth.intersect(_candidates(r).select("sid", "cid"))
 
 
-@query(Q.sql("SELECT sid, cid FROM tok EXCEPT SELECT sid, cid FROM truth", "truth", "tok"))
+@query(Q.sql("SELECT sid, cid FROM uni EXCEPT SELECT sid, cid FROM truth", "truth", "uni"))
 def truth_except(spark, sf_dir):
-    r = Records(spark, sf_dir)
-    return _tokens_of(r).select("sid", "cid").exceptAll(r.truth)
+    r = _records(spark, sf_dir)
+    return _candidates(r).select("sid", "cid").exceptAll(r.truth)
 
 
 # --- validator: the checks over lists that break the rules. documents make such lists: the source stands for the id ---
@@ -549,20 +565,62 @@ def validator_examples(spark, sf_dir):
 @query(Q.sql("SELECT coalesce(s.sid, m.sid) AS sid, CASE WHEN m.sid IS NULL THEN 'missing' ELSE 'unexpected' END AS problem FROM (SELECT entity_id AS sid FROM s1) s FULL JOIN (SELECT DISTINCT sid FROM res UNION SELECT entity_id FROM s23 WHERE addr_norm = '') m ON m.sid = s.sid WHERE s.sid IS NULL OR m.sid IS NULL", "s1", "s23", "res"))
 def validator_coverage(spark, sf_dir):
     """Lists that lack the S1 records without a match, and have rows for the S23 records without an address."""
-    r = Records(spark, sf_dir)
+    r = _records(spark, sf_dir)
     rows = _assigned(r).select("sid").union(r.s23.filter(F.col("addr_norm") == "").select("entity_id"))
     return validate.coverage(rows.withColumn("ids", F.array().cast("array<string>")), r.s1)
 
 
-@query(Q.sql("SELECT sid, cid FROM res EXCEPT SELECT sid, cid FROM tok WHERE tok_rank <= 2", "res", "tok"))
+@query(Q.sql("SELECT sid, cid FROM res EXCEPT SELECT sid, cid FROM uni WHERE rank <= 2", "res", "uni"))
 def validator_subset(spark, sf_dir):
     """Matches that the two best candidates lack."""
-    r = Records(spark, sf_dir)
+    r = _records(spark, sf_dir)
     lists = lambda rows: rows.groupBy("sid").agg(F.collect_list("cid").alias("ids"))
-    return validate.not_candidates(lists(_assigned(r)), lists(_tokens_of(r).filter("tok_rank <= 2")))
+    return validate.not_candidates(lists(_assigned(r)), lists(_candidates(r).filter("rank <= 2")))
 
 
 @query(Q.sql("SELECT count(*) AS n_rows, count(*) FILTER (matched_entity_ids = '') AS n_empty, count(*) FILTER (matched_entity_ids <> '') AS n_filled, sum(CASE WHEN matched_entity_ids = '' THEN 0 ELSE len(string_split(matched_entity_ids, ',')) END)::BIGINT AS n_ids FROM mat", "mat"))
 def validator_counts(spark, sf_dir):
     rows = matching_output(spark, sf_dir)
     return validate.counts(validate.split_lists(rows.select(F.col("source1_entity_id").alias("sid"), F.col("matched_entity_ids").alias("list"))))
+
+
+@query(f"SELECT DISTINCT sid, cid FROM (SELECT sid, unnest(list_distinct(ids)) AS cid FROM ({_BROKEN})) WHERE cid NOT IN (SELECT 'S2-' || n FROM range(1, 4) t(n))")
+def validator_unknown(spark, sf_dir):
+    """Listed ids that a store of the ids S2-1 to S2-3 lacks."""
+    known = spark.range(1, 4).select(F.concat(F.lit("S2-"), F.col("id").cast("string")).alias("entity_id"))
+    return validate.unknown_ids(_broken(spark, sf_dir), known).distinct()
+
+
+@query("SELECT coalesce(source, '') || coalesce(lang, '') AS value, count(*) AS n FROM documents WHERE doc_id % 3 = 0 AND coalesce(source, '') || coalesce(lang, '') <> '' GROUP BY 1")
+def validator_lines(spark, sf_dir):
+    """Rows without a tab, in a file where a third of the rows lack it."""
+    tab = F.when(F.col("doc_id") % 3 == 0, "").otherwise("\t")
+    path = fresh_path(spark, "lines")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.select(F.concat(F.coalesce("source", F.lit("")), tab, F.coalesce("lang", F.lit(""))).alias("value")).write.text(path)
+    return validate.without_tab(validate.lines_of(spark, path)).groupBy("value").agg(F.count("*").alias("n"))
+
+
+_FILES = {
+    "comma": "source1_entity_id,matched_entity_ids\nS1-1,\n",
+    "empty": "",
+    "good": "source1_entity_id\tmatched_entity_ids\nS1-1\t\n",
+    "header": "source1_entity_id\tmatches\nS1-1\t\n",
+    "blank": "\n\n",
+}
+_SAID = {"missing": "the file is missing", "empty": "the file is empty", "blank": "the file is empty", "comma": "the header has commas; fields must be separated by tabs", "header": "the header is ['source1_entity_id', 'matches'], not ['source1_entity_id', 'matched_entity_ids']", "good": ""}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in _SAID.items()) + ") t(file, problem)")
+def validator_files(spark, sf_dir):
+    """The rules about whole files and headers, each with a file that breaks it; good breaks none."""
+    folder, rows = fresh_path(spark, "files"), []
+    for name in sorted(_SAID):
+        if name in _FILES:
+            lines = spark.createDataFrame([(x,) for x in _FILES[name].split("\n")[:-1]], "value string")
+            lines.coalesce(1).write.text(f"{folder}/{name}")
+        report = validate.Report()
+        validate.check_file(spark, f"{folder}/{name}", L.MATCHING_HEADER, "m", None, None, report)
+        problem = report.errors[0].removeprefix("m: ") if report.errors else ""
+        rows.append((name, "the file is missing" if problem.startswith("the file is missing") else problem))
+    return spark.createDataFrame(rows, "file string, problem string")

@@ -18,11 +18,18 @@ from ..sources.storage import written
 SURROGATE_THRESHOLD = 0.5
 
 
-def block(s1: DataFrame, s23: DataFrame) -> DataFrame:
-    """Both channels: sid, cid, rank. Vocabularies are fitted on all records of both sides."""
+def cosine_channel(s1: DataFrame, s23: DataFrame, fit_rows: int | None = L.FIT_ROWS) -> DataFrame:
+    """sid, cid, score, cos_rank. Vocabularies are fitted on the records of both sides, on about fit_rows of a country if given."""
     both = s1.unionByName(s23)
-    vocab = written(vectors.vocabulary(vectors.fit_rows(both)), "vocabulary")
-    cosine = vectors.cosine_candidates(vectors.record_vectors(s1, vocab), vectors.record_vectors(s23, vocab))
+    vocab = written(vectors.vocabulary(vectors.fit_rows(both, fit_rows)), "vocabulary")
+    vectors_of = written(vectors.record_vectors(both, vocab), "vectors")
+    side = lambda rows: vectors_of.join(rows.select("entity_id"), "entity_id", "left_semi")
+    return vectors.cosine_candidates(side(s1), side(s23))
+
+
+def block(s1: DataFrame, s23: DataFrame, fit_rows: int | None = L.FIT_ROWS) -> DataFrame:
+    """Both channels: sid, cid, rank, cos_rank, tok_rank."""
+    cosine = cosine_channel(s1, s23, fit_rows)
     return written(B.candidate_union(cosine, B.token_candidates(s1, s23)), "candidates")
 
 
@@ -95,8 +102,9 @@ def apply(fitted, threshold: float, s1: DataFrame, s23: DataFrame) -> tuple[Data
     return resolve.matching_lists(s1, assigned), resolve.candidate_lists(s1, cands, assigned)
 
 
-def run(spark: SparkSession, mode: str, data: str, work: str) -> None:
-    """train: fit on data/train_*; test: link data/test_* with the saved model; full: both."""
+def run(spark: SparkSession, mode: str, data: str, work: str, single: bool = False) -> None:
+    """train: fit on data/train_*; test: link data/test_* with the saved model; full: both. Result files are folders of part files in
+    order, each with the header, or with single one file each."""
     trained = None
     if mode in ("train", "full"):
         s1 = load(spark, [f"{data}/train_source1.tsv"])
@@ -110,6 +118,6 @@ def run(spark: SparkSession, mode: str, data: str, work: str) -> None:
         s1 = load(spark, [f"{data}/test_source1.tsv"])
         s23 = load(spark, [f"{data}/test_source2.tsv", f"{data}/test_source3.tsv"])
         matching, cands = apply(fitted, threshold, s1, s23)
-        tsv.write_lists(matching, L.MATCHING_HEADER, f"{work}/matching_results.tsv")
-        tsv.write_lists(cands, L.CANDIDATE_HEADER, f"{work}/candidate_pairs.tsv")
+        tsv.write_lists(matching, L.MATCHING_HEADER, f"{work}/matching_results.tsv", single)
+        tsv.write_lists(cands, L.CANDIDATE_HEADER, f"{work}/candidate_pairs.tsv", single)
         print(matching.transform(metrics.match_summary).first().asDict())

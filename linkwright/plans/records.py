@@ -1,5 +1,6 @@
 """Record tables for the queries. The tables at hand hold no businesses, so records are taken from documents: thirds of
-them are the three sources, the first letters are names and addresses, the language is the country."""
+them are the three sources, the language is the country, and the whole text is split in three: the first letters are the name, the
+next ones the address, and all others the body, which tells whether two records are the same business."""
 
 from __future__ import annotations
 
@@ -7,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.blocking import normalized
+from ..sources.storage import written
 
 
 def er_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,24 +19,26 @@ def er_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring(flat, 1, 48).alias("business_name"),
         F.substring(flat, 49, 64).alias("business_address"),
         F.coalesce("lang", F.lit("")).alias("country"),
-        F.substring(flat, 113, 60).alias("body"),
+        F.substring(flat, 113, 2**31 - 1).alias("body"),
         F.col("doc_id").alias("row_pos"),
     )
 
 
 class Records:
-    """The normalised sources of a folder of tables."""
+    """The normalised sources of a folder of tables; once: as a table, for plans that read them several times."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, once: bool = False):
         self.raw = er_records(spark, sf_dir)
         self.all = normalized(self.raw, "row_pos")
+        if once:
+            self.all = written(self.all, "records")
         self.s1 = self.all.filter(F.col("entity_id").startswith("S1-"))
         self.s23 = self.all.filter(~F.col("entity_id").startswith("S1-"))
 
     @property
     def truth(self) -> DataFrame:
         """sid, cid: records whose bodies agree; a cid belongs to the least sid."""
-        rows = self.raw.filter(F.length("body") == 60)
+        rows = self.raw.filter(F.length("body") >= 60).withColumn("body", F.sha2("body", 256))
         a = rows.filter(F.col("entity_id").startswith("S1-")).groupBy("country", "body").agg(F.min("entity_id").alias("sid"))
         b = rows.filter(~F.col("entity_id").startswith("S1-")).select("country", "body", F.col("entity_id").alias("cid"))
         return a.join(b, ["country", "body"]).select("sid", "cid")

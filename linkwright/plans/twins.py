@@ -83,11 +83,11 @@ def f05(t: str, p: str, h: str) -> str:
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "flat": ((), r"SELECT doc_id, lang, regexp_replace(coalesce(text, ''), '\s+', ' ', 'g') AS x FROM documents"),
-    "rec": (("flat",), "SELECT 'S' || (doc_id % 3 + 1) || '-' || lpad(doc_id::VARCHAR, 8, '0') AS entity_id, substr(x, 1, 48) AS business_name, substr(x, 49, 64) AS business_address, coalesce(lang, '') AS country, substr(x, 113, 60) AS body, doc_id AS row_pos FROM flat"),
+    "rec": (("flat",), "SELECT 'S' || (doc_id % 3 + 1) || '-' || lpad(doc_id::VARCHAR, 8, '0') AS entity_id, substr(x, 1, 48) AS business_name, substr(x, 49, 64) AS business_address, coalesce(lang, '') AS country, substr(x, 113) AS body, doc_id AS row_pos FROM flat"),
     "nrm": (("rec",), f"SELECT entity_id, row_pos, {name('business_name')} AS name_norm, {address('business_address')} AS addr_norm, lower(trim(country)) AS country_norm FROM rec"),
     "s1": (("nrm",), "SELECT * FROM nrm WHERE entity_id LIKE 'S1-%'"),
     "s23": (("nrm",), "SELECT * FROM nrm WHERE entity_id NOT LIKE 'S1-%'"),
-    "truth": (("rec",), "SELECT min(a.entity_id) AS sid, b.entity_id AS cid FROM rec a JOIN rec b ON a.country = b.country AND a.body = b.body WHERE length(a.body) = 60 AND a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%' GROUP BY b.entity_id"),
+    "truth": (("rec",), "SELECT min(a.entity_id) AS sid, b.entity_id AS cid FROM rec a JOIN rec b ON a.country = b.country AND a.body = b.body WHERE length(a.body) >= 60 AND a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%' GROUP BY b.entity_id"),
     "t1": (("s1",), f"SELECT country_norm, entity_id AS sid, unnest({significant('name_norm', 'addr_norm')}) AS token FROM s1"),
     "t23": (("s23",), f"SELECT country_norm, entity_id AS cid, unnest({significant('name_norm', 'addr_norm')}) AS token FROM s23"),
     "idx": (("t23",), f"SELECT * FROM (SELECT country_norm, token, cid, count(*) OVER (PARTITION BY country_norm, token) AS df FROM t23) WHERE df BETWEEN {L.MIN_DF} AND {L.MAX_DF}"),
@@ -101,15 +101,15 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "cos": (("vec",), f"SELECT sid, cid, score, cos_rank FROM (SELECT sid, cid, score, row_number() OVER (PARTITION BY sid ORDER BY score DESC, cid) AS cos_rank FROM (SELECT a.entity_id AS sid, b.entity_id AS cid, round(sum(a.weight * b.weight), 6) AS score FROM vec a JOIN vec b USING (country_norm, field, term) WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%' GROUP BY 1, 2) WHERE score > 0) WHERE cos_rank <= {L.TOP_COSINE}"),
     "uni": (("cos", "tok"), "SELECT sid, cid, cos_rank, tok_rank, row_number() OVER (PARTITION BY sid ORDER BY cos_rank NULLS LAST, tok_rank NULLS LAST, cid) AS rank FROM cos FULL JOIN tok USING (sid, cid)"),
     "prt": (("nrm",), f"SELECT *, {name_tokens('name_norm')} AS name_tokens, {address_tokens('addr_norm')} AS addr_tokens, {grams('name_norm')} AS name_grams, {grams('addr_norm')} AS addr_grams, list_filter({address_tokens('addr_norm')}, lambda t: regexp_full_match(t, '[0-9]+')) AS numbers FROM nrm"),
-    "pr": (("prt", "tok"), "SELECT sid, cid, a.name_norm AS an, b.name_norm AS bn, a.addr_norm AS aa, b.addr_norm AS ba, a.country_norm AS ac, b.country_norm AS bc, a.name_tokens AS ant, b.name_tokens AS bnt, a.addr_tokens AS aat, b.addr_tokens AS bat, a.name_grams AS ang, b.name_grams AS bng, a.addr_grams AS aag, b.addr_grams AS bag, a.numbers AS anum, b.numbers AS bnum, a.row_pos AS s1_pos FROM tok JOIN prt a ON a.entity_id = sid JOIN prt b ON b.entity_id = cid"),
+    "pr": (("prt", "uni"), "SELECT sid, cid, a.name_norm AS an, b.name_norm AS bn, a.addr_norm AS aa, b.addr_norm AS ba, a.country_norm AS ac, b.country_norm AS bc, a.name_tokens AS ant, b.name_tokens AS bnt, a.addr_tokens AS aat, b.addr_tokens AS bat, a.name_grams AS ang, b.name_grams AS bng, a.addr_grams AS aag, b.addr_grams AS bag, a.numbers AS anum, b.numbers AS bnum, a.row_pos AS s1_pos FROM uni JOIN prt a ON a.entity_id = sid JOIN prt b ON b.entity_id = cid"),
     "sco": (("pr",), f"SELECT sid, cid, s1_pos, (an = bn AND aa = ba AND an <> '' AND aa <> '') AS is_exact, CASE WHEN an = bn AND aa = ba AND an <> '' AND aa <> '' THEN 1.0 ELSE round({jaccard('ang', 'bng')} * {jaccard('aag', 'bag')}, 6) END::DOUBLE AS p FROM pr"),
     "bst": (("sco",), "SELECT sid, cid, p, is_exact FROM (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY p DESC, is_exact DESC, s1_pos, sid) AS r FROM sco) WHERE r = 1"),
     "res": (("bst",), "SELECT * FROM bst WHERE p >= 0.5"),
-    "lab": (("tok", "truth"), "SELECT tok.sid, tok.cid, CASE WHEN truth.cid IS NULL THEN 0 ELSE 1 END AS label FROM tok LEFT JOIN truth ON truth.sid = tok.sid AND truth.cid = tok.cid"),
+    "lab": (("uni", "truth"), "SELECT uni.sid, uni.cid, CASE WHEN truth.cid IS NULL THEN 0 ELSE 1 END AS label FROM uni LEFT JOIN truth ON truth.sid = uni.sid AND truth.cid = uni.cid"),
     "neg": (("lab",), f"SELECT sid, cid, label FROM (SELECT *, sum(label) OVER (PARTITION BY sid) AS pos, row_number() OVER (PARTITION BY sid, label ORDER BY md5(sid || '|' || cid), cid) AS r FROM lab) WHERE label = 1 OR r <= greatest({L.NEGATIVES_PER_POSITIVE} * pos, 1)"),
     "ent": (("s1", "truth", "res"), "SELECT s.entity_id AS sid, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(n_hit, 0) AS n_hit FROM s1 s LEFT JOIN (SELECT coalesce(t.sid, r.sid) AS sid, count(t.cid) AS n_true, count(r.cid) AS n_pred, count(CASE WHEN t.cid IS NOT NULL AND r.cid IS NOT NULL THEN 1 END) AS n_hit FROM truth t FULL JOIN res r ON t.sid = r.sid AND t.cid = r.cid GROUP BY 1) c ON c.sid = s.entity_id"),
     "mat": (("s1", "res"), "SELECT s.row_pos, s.entity_id AS source1_entity_id, coalesce(string_agg(r.cid, ',' ORDER BY r.cid), '') AS matched_entity_ids FROM s1 s LEFT JOIN res r ON r.sid = s.entity_id GROUP BY s.row_pos, s.entity_id"),
-    "can": (("s1", "tok", "res"), "SELECT s.row_pos, s.entity_id AS source1_entity_id, coalesce(string_agg(cid, ',' ORDER BY k, cid), '') AS candidate_entity_ids FROM s1 s LEFT JOIN (SELECT sid, cid, min(k) AS k FROM (SELECT sid, cid, tok_rank AS k FROM tok UNION ALL SELECT sid, cid, 1000000 AS k FROM res) GROUP BY sid, cid) c ON c.sid = s.entity_id GROUP BY s.row_pos, s.entity_id"),
+    "can": (("s1", "uni", "res"), "SELECT s.row_pos, s.entity_id AS source1_entity_id, coalesce(string_agg(cid, ',' ORDER BY k, cid), '') AS candidate_entity_ids FROM s1 s LEFT JOIN (SELECT sid, cid, min(k) AS k FROM (SELECT sid, cid, rank AS k FROM uni UNION ALL SELECT sid, cid, 1000000 AS k FROM res) GROUP BY sid, cid) c ON c.sid = s.entity_id GROUP BY s.row_pos, s.entity_id"),
 }
 
 

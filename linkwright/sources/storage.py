@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset
-    (tests in one process) a temporary one is made and set for the session."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset and all run in one process (a
+    local master, as in tests) a temporary one is made and set for the session."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="linkwright-")
         spark.conf.set("spark.checkpoint.dir", found)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)

@@ -53,11 +53,21 @@ def _write_lines(rows: DataFrame, header: tuple[str, ...], path: str) -> None:
 
 
 def write_lists(lists: DataFrame, header: tuple[str, str], path: str, single: bool = False) -> None:
-    """Two columns (id, comma-separated list) with a header line. Files are in the order of row_pos; single gathers the
-    output into one file for consumers that need it, which only fits results of moderate size."""
+    """Two columns (id, comma-separated list) with a header line in every file; files are in the order of row_pos. With single, path is
+    one file, for consumers that need it, which only fits results of moderate size."""
     rows = lists.orderBy("row_pos").select(F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in header]).alias("value"))
-    rows = rows.coalesce(1) if single else rows
-    _write_lines(rows, header, path)
+    if not single:
+        _write_lines(rows, header, path)
+        return
+    _write_lines(rows.coalesce(1), header, f"{path}-parts")
+    jvm, conf = rows.sparkSession.sparkContext._jvm, rows.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    folder, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}-parts", path))
+    store = folder.getFileSystem(conf)
+    (part,) = [f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    store.delete(target, True)
+    if not store.rename(part, target):
+        raise OSError(f"can't move {part} to {path}")
+    store.delete(folder, True)
 
 
 def write_records(records: DataFrame, path: str) -> None:
