@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import spread
 from . import lexicon as L
 from . import similarity as S
 from . import tokens as T
@@ -25,7 +26,7 @@ def paired(pairs: DataFrame, s1: DataFrame, s23: DataFrame) -> DataFrame:
     fields = ("name_norm", "addr_norm", "country_norm", *PARTS)
     a = with_parts(s1).select(F.col("entity_id").alias("sid"), *[F.col(c).alias(f"a_{c}") for c in fields])
     b = with_parts(s23).select(F.col("entity_id").alias("cid"), *[F.col(c).alias(f"b_{c}") for c in fields])
-    return pairs.join(a, "sid").join(b, "cid")
+    return spread(pairs, "sid").join(a, "sid").join(b, "cid")
 
 
 def set_features() -> dict[str, Column]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions import tokens as T
+from ..sources.storage import spread
 from .blocking import top
 
 #: Records of a block; two blocks meet in one task. A block of S23 holds about 100 MB of terms and weights. A country of fewer
@@ -134,5 +135,6 @@ def cosine_candidates(v1: DataFrame, v23: DataFrame, k: int = L.TOP_COSINE) -> D
     b = _packed(v23).join(grid, "country_norm").select("country_norm", "entity_id", "terms", "weights", block("n2").alias("j"), each("n1").alias("i"))
     a, b = a.toDF(*a.columns), b.toDF(*b.columns)  # both may come from one table
     keys = ["country_norm", "i", "j"]
+    a, b = spread(a, *keys), spread(b, *keys)
     found = a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(_block_top(k), "sid string, cid string, score double")
     return top(found, "sid", [F.desc("score"), F.asc("cid")], k, "cos_rank")

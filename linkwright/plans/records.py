@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.blocking import normalized
-from ..sources.storage import written
+from ..sources.storage import spread, written
 
 
 def er_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ class Records:
         self.raw = er_records(spark, sf_dir)
         self.all = normalized(self.raw, "row_pos")
         if once:
-            self.all = written(self.all, "records")
+            self.all = written(spread(self.all, "entity_id"), "records")
         self.s1 = self.all.filter(F.col("entity_id").startswith("S1-"))
         self.s23 = self.all.filter(~F.col("entity_id").startswith("S1-"))
 

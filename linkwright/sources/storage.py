@@ -35,3 +35,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df = df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t == "void"})
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys over all shuffle partitions, for rows whose work is large for their bytes: partitions of few bytes would be
+    merged otherwise and leave few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
