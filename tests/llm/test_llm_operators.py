@@ -308,6 +308,25 @@ def test_ftrl_by_definition():
     assert np.allclose([got[i] for i in range(30)], [weight(i) for i in range(30)]) and bias == pytest.approx(weight("bias"))
 
 
+def test_toxicity_features_and_scores_by_definition(docs_of, corpus):
+    rng, mask, shift = random.Random(3), (1 << 64) - 1, 64 - toxicity.BUCKETS.bit_length() + 1
+    one = lambda w: int(textcore.run_hash(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]))[0])
+
+    def buckets(text):
+        h = [one(w) for w in brute.lower_words(text)]
+        two = [brute._mixed((a * int(textcore._GRAM[0]) + b * int(textcore._GRAM[1])) & mask) for a, b in zip(h, h[1:])]
+        skip = [brute._mixed((a * 0xD6E8FEB86659FD93 + b) & mask) for a, b in zip(h, h[2:])]
+        return {x >> shift for x in h + two + skip}
+
+    features = {i: buckets(t) for i, t in corpus}
+    weights = {b: rng.uniform(-1, 1) for s in features.values() for b in s if rng.random() < 0.5}
+    at = np.array(sorted(weights))
+    out = toxicity.score_toxicity(docs_of(corpus), (at, np.array([weights[b] for b in at.tolist()]), -0.3)).collect()
+    for r in out:
+        x = -0.3 + sum(weights.get(b, 0) for b in features[r.doc_id])
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip(x, -35, 35))), abs=1e-4) and r.predicted == int(r.score >= 0.5)
+
+
 # --- 9: personal data ---
 
 PIECES = ["a@b.co", "@", ".", "x", "1", "23", " ", "-", "+", "(", ")", "4111111111111111", "10.0.0.1", "256", "+1 (555) 123-4567", "é", "%", "\n"]
