@@ -81,7 +81,13 @@ def test_stream(spark, sf_dir, tmp_path):
         writer.trigger(availableNow=True).start().awaitTermination()
 
     arrive("a", rows[: len(rows) // 2])
+    half = {x.cid: x for x in arrivals.read_assignments(spark, str(tmp_path / "out")).collect()}
     arrive("b", rows[len(rows) // 2 :])
+    arrive("c", rows[:5])  # that came before
+    after = {x.cid: x for x in arrivals.read_assignments(spark, str(tmp_path / "out")).collect()}
+    assert all(after[c] == x for c, x in half.items()) and len(after) > len(half)
+    parts = os.listdir(tmp_path / "out")
+    assert len(parts) > 10 and all(1 <= len(os.listdir(tmp_path / "out" / p)) <= 3 for p in parts if p.startswith("part="))
     got = arrivals.read_assignments(spark, str(tmp_path / "out"))
     assert got.count() == got.select("cid").distinct().count() > 0
     exact = {(x.sid, x.cid) for x in catalog.QUERIES["exact_matches"](spark, sf_dir).collect()}
@@ -107,8 +113,18 @@ def same(spark, sf_dir, query, sql):
     return len(got)
 
 
+@pytest.fixture(scope="module")
+def blocked(spark, sf_dir):
+    """Records and candidates, which test_oracle[candidate_union] compares, once for all others."""
+    r = catalog._records(spark, sf_dir)
+    return r, catalog._candidates(r)
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
-def test_oracle(spark, sf_dir, name):
+def test_oracle(spark, sf_dir, name, blocked, monkeypatch):
+    if name not in ("candidate_union", "cosine_topk"):
+        monkeypatch.setattr(catalog, "_records", lambda *_: blocked[0])
+        monkeypatch.setattr(catalog, "_candidates", lambda _: blocked[1])
     same(spark, sf_dir, catalog.QUERIES[name], catalog.ORACLES[name])
 
 
@@ -125,9 +141,10 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", ["gbt_train_score", "feature_importance"])
-def test_queries_without_sql(spark, sf_dir, name, monkeypatch):
+def test_queries_without_sql(spark, sf_dir, name, blocked, monkeypatch):
     from linkwright.operators import model
 
+    monkeypatch.setattr(catalog, "_candidates", lambda _: blocked[1])
     monkeypatch.setattr(model, "PARAMETERS", model.PARAMETERS | {"maxIter": 3, "maxDepth": 3, "minInstancesPerNode": 2})
     assert catalog.QUERIES[name](spark, sf_dir).count() > 0
 
