@@ -1,6 +1,7 @@
 """Blocking, assignment, metrics, sampling and sources on small cases and against brute force."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkwright.functions import lexicon as L
 from linkwright.operators import blocking as B
-from linkwright.operators import metrics, pairs, resolve, vectors
+from linkwright.operators import metrics, model, pairs, resolve, vectors
 from linkwright.plans.records import Records
 from linkwright.sources import tsv
 
@@ -112,6 +113,29 @@ def test_sampling(spark):
     assert pairs.entity_split(truth).filter("is_validation").count() == math.floor(101 * 0.15)
 
 
+def test_best_round():
+    assert model.best_round([3.0, 2.0, 2.5, 2.4, 1.0], patience=2) == 2
+    assert model.best_round([3.0, 2.0, 2.5, 1.0, 1.0], patience=3) == 4
+    assert model.best_round([1.0]) == 1
+
+
+def test_rounds_after_the_best_are_cut_off(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(f"s{i}", f"c{i}", int(i % 4 == 0) ^ int(rng.random() < 0.2), *[rng.random() + (i % 4 == 0) * (k < 3) * 0.4 for k in range(len(L.FEATURES))]) for i in range(400)]
+    schema = "sid string, cid string, label int, " + ", ".join(f"{f} float" for f in L.FEATURES)
+    fit, held = spark.createDataFrame(rows[:300], schema), spark.createDataFrame(rows[300:], schema)
+    small = {"maxIter": 12, "maxDepth": 3, "minInstancesPerNode": 2, "stepSize": 0.5}
+    whole, kept = model.train(fit, **small), model.train(fit, held, **small)
+    n = kept.getNumTrees
+    assert whole.getNumTrees == 12 and 1 <= n < 12
+    short = model.train(fit, **(small | {"maxIter": n}))
+    p = lambda m: {r.cid: r.p for r in model.predict(m, held).collect()}
+    assert p(kept) == pytest.approx(p(short)) and p(kept) != pytest.approx(p(whole))
+    model.save(kept, 0.7, 0.9, str(tmp_path))
+    again, threshold = model.load(spark, str(tmp_path))
+    assert p(again) == pytest.approx(p(kept)) and threshold == 0.7
+
+
 def test_scan(spark, tmp_path):
     head = "\t".join(L.RECORD_COLUMNS)
     lines = [head, 'S2-1\t"A" x\tb, c\tUS', "S2-2\tshort", "S2-3\ta\tb\tc\textra", "", "S2-4\t\t\t", 'S2-5\t"open\tNA\tnull']
