@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +119,7 @@ class Encoder:
 
     def _learn(self, data: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray, plain: np.ndarray) -> None:
         """Distinct new words. Plain ones are single pre-tokens, whose last id alone ends a word, and are
-        encoded many at a time; the others one by one."""
+        encoded many at a time; the others each as a text of its own."""
         raw = data.tobytes()
         new_ids, sizes, order = [], [], np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         group, groups, n = [], [], 0
@@ -137,10 +138,11 @@ class Encoder:
                 raise ValueError("words and ids don't match")
             new_ids.append(flat)
             sizes.append(np.diff(np.concatenate([[-1], last])))
-        for i in order[int(plain.sum()) :]:
-            ids = self._ids(raw[start[i] : end[i]].decode())
-            new_ids.append(np.array(ids, np.int32))
-            sizes.append(np.array([len(ids)]))
+        odd = [raw[start[i] : end[i]].decode() for i in order[int(plain.sum()) :]]
+        if odd:
+            lists = [e.ids for e in self.library.encode_batch_fast(odd, add_special_tokens=False)]
+            new_ids.append(np.fromiter(chain.from_iterable(lists), np.int32))
+            sizes.append(np.fromiter(map(len, lists), np.int64))
         self._keep(h[order], np.concatenate(new_ids), np.concatenate(sizes))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
