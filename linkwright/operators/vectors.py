@@ -16,10 +16,12 @@ from ..functions import tokens as T
 from ..sources.storage import spread
 from .blocking import top
 
-#: Records of a block; two blocks meet in one task. A block of S23 holds about 100 MB of terms and weights. A country of fewer
-#: S1 records than SPREAD blocks hold is split into blocks of at least ROWS_LEAST, so that it isn't the work of one task.
-ROWS_S1, ROWS_S23 = 4096, 65_536
+#: Records of a block; two blocks meet in one task, each of about 100 MB of terms and weights. A country of fewer than SPREAD
+#: pairs of blocks has its S1 records split into smaller blocks, of at least ROWS_LEAST, so that it isn't the work of one task.
+ROWS_S1, ROWS_S23 = 32_768, 32_768
 SPREAD, ROWS_LEAST = 16, 128
+#: Numbers in the dense matrix of the right block's frequent terms, which at least one in DENSE_SHARE records have, and scores held at once.
+DENSE_CELLS, DENSE_SHARE, SCORE_CELLS = 1 << 24, 64, 1 << 20
 
 
 def gram_rows(records: DataFrame) -> DataFrame:
@@ -83,7 +85,8 @@ def _flat(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _block_top(k: int):
-    """The sparse product of two blocks, one row at a time over the right block's inverted index; its best k a row."""
+    """The sparse product of two blocks, a few rows at a time; their best k a row. The right block's most frequent terms are columns
+    of a dense matrix, which a matrix product handles faster than their long lists; the other terms go over an inverted index."""
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -94,26 +97,43 @@ def _block_top(k: int):
         order = np.argsort(term, kind="stable")
         term, weight, row = term[order], weight[order], np.repeat(np.arange(n), np.diff(off))[order]
         known, first = np.unique(term, return_index=True)
-        first = np.append(first, len(term))
+        size = np.diff(np.append(first, len(term)))
+        frequent = np.argsort(-size, kind="stable")[: max(1, DENSE_CELLS // n)]
+        frequent = frequent[size[frequent] * DENSE_SHARE >= n]
+        column = np.full(len(known), -1)
+        column[frequent] = np.arange(len(frequent))
+        at = np.repeat(column, size)
+        dense = np.zeros((len(frequent), n))
+        dense[at[at >= 0], row[at >= 0]] = weight[at >= 0]
+
         own, own_weight, off = _flat(left)
         at = np.minimum(np.searchsorted(known, own), len(known) - 1)
         shared = known[at] == own
+        step = max(1, SCORE_CELLS // n)
         out_sid, out_cid, out_score = [], [], []
-        for i in range(len(left)):
-            mine = slice(off[i], off[i + 1])
+        for i in range(0, len(left), step):
+            mine = slice(off[i], off[min(i + step, len(left))])
+            rows = len(off[i : i + step + 1]) - 1
+            of = np.repeat(np.arange(rows), np.diff(off[i : i + rows + 1]))[shared[mine]]
             t, w = at[mine][shared[mine]], own_weight[mine][shared[mine]]
-            if not len(t):
-                continue
-            size = first[t + 1] - first[t]
-            where = np.arange(size.sum()) + np.repeat(first[t] - (np.cumsum(size) - size), size)
-            score = np.round(np.bincount(row[where], weights=weight[where] * np.repeat(w, size), minlength=n), 6)
-            hit = np.flatnonzero(score > 0)
-            if len(hit) > k:  # all that reach the k-th score, so that ties are cut by id alone
-                hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[len(hit) - k]]
-            hit = hit[np.argsort(-score[hit], kind="stable")[:k]]
-            out_sid.append(np.repeat(sids[i], len(hit)))
-            out_cid.append(cids[hit])
-            out_score.append(score[hit])
+            common = column[t] >= 0
+            wide = np.zeros((rows, len(frequent)))
+            wide[of[common], column[t[common]]] = w[common]
+            scores = wide @ dense
+            of, t, w = of[~common], t[~common], w[~common]
+            if len(t):
+                m = size[t]
+                where = np.arange(m.sum()) + np.repeat(first[t] - (np.cumsum(m) - m), m)
+                scores += np.bincount(row[where] + np.repeat(of * n, m), weights=weight[where] * np.repeat(w, m), minlength=rows * n).reshape(rows, n)
+            least = np.partition(scores, n - k, axis=1)[:, n - k] - 1e-6 if n > k else np.zeros(rows)
+            for r in range(rows):
+                hit = np.flatnonzero((scores[r] >= least[r]) & (scores[r] > 0))  # all that may reach the k-th score once rounded, so that ties are cut by id alone
+                score = np.round(scores[r][hit], 6)
+                hit, score = hit[score > 0], score[score > 0]
+                order = np.argsort(-score, kind="stable")[:k]
+                out_sid.append(np.repeat(sids[i + r], len(order)))
+                out_cid.append(cids[hit[order]])
+                out_score.append(score[order])
         join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
         return pd.DataFrame({"sid": join(out_sid, object), "cid": join(out_cid, object), "score": join(out_score, float)})
 
@@ -125,10 +145,10 @@ def cosine_candidates(v1: DataFrame, v23: DataFrame, k: int = L.TOP_COSINE) -> D
     cid. Every block of S1 meets every block of S23 of its country in a sparse product that gives back only its best
     k a row, so what is shuffled is each side once for each block of the other, and k rows a product; the scores
     themselves never leave a task. The number of blocks follows the country's size; a block never grows."""
-    n = F.count_distinct("entity_id")
-    n1 = v1.groupBy("country_norm").agg(F.greatest(F.ceil(n / ROWS_S1), F.least(F.lit(SPREAD), F.ceil(n / ROWS_LEAST))).cast("int").alias("n1"))
-    n2 = v23.groupBy("country_norm").agg(F.ceil(F.count_distinct("entity_id") / ROWS_S23).cast("int").alias("n2"))
-    grid = n1.join(n2, "country_norm")
+    n = lambda v, name: v.groupBy("country_norm").agg(F.count_distinct("entity_id").alias(name))
+    n2 = F.ceil(F.col("_n2") / ROWS_S23)
+    n1 = F.greatest(F.ceil(F.col("_n1") / ROWS_S1), F.least(F.ceil(SPREAD / n2), F.ceil(F.col("_n1") / ROWS_LEAST)))
+    grid = n(v1, "_n1").join(n(v23, "_n2"), "country_norm").select("country_norm", n1.cast("int").alias("n1"), n2.cast("int").alias("n2"))
     block = lambda n: F.pmod(F.xxhash64("entity_id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     a = _packed(v1).join(grid, "country_norm").select("country_norm", "entity_id", "terms", "weights", block("n1").alias("i"), each("n2").alias("j"))

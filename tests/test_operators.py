@@ -4,6 +4,8 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +48,29 @@ def test_cosine_blocks_equal_the_join(spark, sf_dir, monkeypatch):
     assert all(v <= 1 + 1e-9 for v in got.values())
 
 
+@pytest.mark.parametrize("cells, share, scores", [(1 << 24, 64, 1 << 20), (1 << 24, 4, 100), (0, 4, 1), (1 << 24, 0, 1 << 20)])
+def test_block_product_by_definition(monkeypatch, cells, share, scores):
+    """Dense and sparse terms, a row or many at a time, ties cut by id, rows that share nothing."""
+    for name, value in (("DENSE_CELLS", cells), ("DENSE_SHARE", share), ("SCORE_CELLS", scores)):
+        monkeypatch.setattr(vectors, name, value)
+    rng = np.random.default_rng(3)
+
+    def block(prefix, n):
+        terms = [rng.choice(40, rng.integers(1, 8), False, 1 / np.arange(1, 41) / np.sum(1 / np.arange(1, 41))) for _ in range(n)]
+        terms[1] = terms[0]
+        return pd.DataFrame({"entity_id": [f"{prefix}{i:03d}" for i in rng.permutation(n)], "terms": terms, "weights": [np.full(len(t), 0.25) for t in terms]})
+
+    left, right = block("a", 30), block("b", 50)
+    left.loc[len(left)] = ["a999", np.array([77]), np.array([1.0])]
+    got = vectors._block_top(7)(left, right)
+    want = set()
+    for a in left.itertuples():
+        score = {b.entity_id: len(set(a.terms) & set(b.terms)) / 16 for b in right.itertuples()}
+        want |= {(a.entity_id, c, score[c]) for c in sorted((c for c in score if score[c]), key=lambda c: (-score[c], c))[:7]}
+    assert {tuple(r) for r in got.itertuples(index=False)} == want and len(got) == len(want)
+    assert vectors._block_top(7)(left[:0], right).empty and vectors._block_top(7)(left, right[:0]).empty
+
+
 def test_candidates_stay_in_their_country(spark):
     s1 = records(spark, [("S1-1", "acme steel", "", "in"), ("S1-2", "", "", "fr")])
     s23 = records(spark, [("S2-1", "acme steel", "", "in"), ("S2-2", "acme steel", "", "fr"), ("S3-1", "acme steel", "", "in")])
