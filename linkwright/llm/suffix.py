@@ -235,6 +235,13 @@ def _suffixes(segments: DataFrame) -> DataFrame:
     return map_arrow(segments.select("m", "n", "doc_id", "tag", "at", "data"), make, "m long, a long, b long, n long, doc_id long, tag long, at long")
 
 
+def _but(runs: DataFrame, alone: DataFrame) -> DataFrame:
+    """The places of runs without those that are alone in their class: the runs that occur again. Places are joined, of which no two
+    are equal, and not the names, one of which may belong to a large share of all runs."""
+    key = ["doc_id", "tag", "at"]
+    return runs.select(key).join(alone.select(key), key, "left_anti")
+
+
 def _refined_across(segments: DataFrame) -> DataFrame:
     """doc_id, tag, at of the runs that repeat, of segments of large buckets. n counts a segment of a phrase that is known elsewhere twice;
     of such nothing more is to be found."""
@@ -245,7 +252,7 @@ def _refined_across(segments: DataFrame) -> DataFrame:
     mixed = left.filter("mixed")
     whole = mixed.groupBy("m", "a", "b").agg(F.least(F.sum("n"), F.lit(2)).alias("n"), F.min(F.struct(*key)).alias("x"), F.first("data").alias("data"))
     whole = written(whole.select("m", "a", "b", "n", "x.*", "data"), "repeat-wholes")
-    again = mixed.filter("n = 1").join(whole.filter("n > 1").select("m", "a", "b"), ["m", "a", "b"], "left_semi")
+    again = _but(mixed.filter("n = 1"), whole.filter("n = 1"))
     rows = written(_suffixes(whole), "repeat-suffixes")
     equal = written(rows.groupBy("m", "a", "b").agg(F.sum("n").alias("of")).filter("of > 1").select("m", "a", "b"), "repeat-equal")
     single = rows.filter("n = 1").join(equal, ["m", "a", "b"], "left_semi")
@@ -362,7 +369,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     mixed = left.filter("mixed")
     whole = mixed.groupBy("m", "s").agg(F.least(F.count("*"), F.lit(2)).alias("n"), F.min(F.struct(*key)).alias("x"))
     whole = written(whole.select("m", "s", "n", "x.*"), "repeat-phrases")
-    again = mixed.join(whole.filter("n > 1").select("m", "s"), ["m", "s"], "left_semi")
+    again = _but(mixed, whole.filter("n = 1"))
     large = written(whole.groupBy("m").agg(F.count("*").alias("of")).filter(F.col("of") > MAX_PHRASES).select("m", F.lit(True).alias("large")), "repeat-large")
     marked = whole.join(large, "m", "left").withColumn("large", F.coalesce("large", F.lit(False)))
     rows = written(_open_phrases(docs, marked), "repeat-open")
