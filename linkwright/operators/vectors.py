@@ -25,7 +25,9 @@ DENSE_CELLS, DENSE_SHARE, SCORE_CELLS = 1 << 24, 64, 1 << 20
 
 
 def gram_rows(records: DataFrame) -> DataFrame:
-    """country_norm, entity_id, field, term, tf."""
+    """country_norm, entity_id, field, term, tf. Records are dealt by id before they become n-grams, of which there are far more bytes, so
+    that neither counting nor norms move those again."""
+    records = spread(records.select("country_norm", "entity_id", "name_norm", "addr_norm"), "entity_id")
     fields = F.array(F.struct(F.lit("n").alias("field"), F.col("name_norm").alias("x")), F.struct(F.lit("a").alias("field"), F.col("addr_norm").alias("x")))
     each = records.select("country_norm", "entity_id", F.explode(fields).alias("f")).select("country_norm", "entity_id", "f.field", F.explode(T.padded_ngrams(F.col("f.x"))).alias("term"))
     return each.groupBy("country_norm", "entity_id", "field", "term").agg(F.count("*").alias("tf"))
@@ -55,7 +57,8 @@ def tfidf(records: DataFrame, vocab: DataFrame) -> DataFrame:
     """country_norm, entity_id, field, term, weight, each field of a record normalised."""
     raw = (1 + F.log(F.col("tf").cast("double"))) * (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1)
     rows = gram_rows(records).join(vocab, ["country_norm", "field", "term"]).withColumn("_w", raw)
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("entity_id", "field")))
+    square = lambda field: F.sum(F.when(F.col("field") == field, F.col("_w") * F.col("_w"))).over(Window.partitionBy("entity_id"))
+    norm = F.sqrt(F.when(F.col("field") == "n", square("n")).otherwise(square("a")))  # one window, so that rows stay dealt by id
     return rows.select("country_norm", "entity_id", "field", "term", (F.col("_w") / norm).alias("weight"))
 
 

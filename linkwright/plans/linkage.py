@@ -20,10 +20,8 @@ SURROGATE_THRESHOLD = 0.5
 
 def cosine_channel(s1: DataFrame, s23: DataFrame, fit_rows: int | None = L.FIT_ROWS) -> DataFrame:
     """sid, cid, score, cos_rank. Vocabularies are fitted on the records of both sides, on about fit_rows of a country if given."""
-    both = s1.unionByName(s23)
-    vocab = written(vectors.vocabulary(vectors.fit_rows(both, fit_rows)), "vocabulary")
-    vectors_of = written(vectors.record_vectors(both, vocab), "vectors")
-    side = lambda rows: vectors_of.join(rows.select("entity_id"), "entity_id", "left_semi")
+    vocab = written(vectors.vocabulary(vectors.fit_rows(s1.unionByName(s23), fit_rows)), "vocabulary")
+    side = lambda rows: written(vectors.record_vectors(rows, vocab), "vectors")
     return vectors.cosine_candidates(side(s1), side(s23))
 
 
