@@ -188,3 +188,49 @@ def test_sinks(spark, tmp_path):
     text = (tmp_path / "m").read_text()
     assert text == 'source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1,"q\nS1-2\t\n'
     assert {r.entity_id for r in tsv.read_ids(spark, str(tmp_path / "m")).collect()} == {"S1-1", "S1-2"}
+
+
+def test_vectors_travel_as_texts(spark, sf_dir, monkeypatch):
+    """Vectors are made where they are needed: no join or window on n-grams, and in the cosine channel none on vectors."""
+    r = Records(spark, sf_dir)
+    vocab = spark.createDataFrame(vectors.vocabulary(r.all).collect())
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for made in (vectors.tfidf(r.all, vocab), vectors.record_vectors(r.all, vocab), vectors.cosine_of_records(r.s1, r.s23, vocab)):
+        assert "flatten" not in plan(made)
+    monkeypatch.setattr(vectors, "ROWS_S23", 7)
+    monkeypatch.setattr(vectors, "TURNS", 3)
+    monkeypatch.setattr(vectors, "ROWS_S1", 20)
+    got = {(x["sid"], x["cid"]): x["score"] for x in vectors.cosine_of_records(r.s1, r.s23, vocab, 10).collect()}
+    joined = vectors.cosine_pairs_by_join(vectors.record_vectors(r.s1, vocab), vectors.record_vectors(r.s23, vocab)).withColumn("score", F.round("score", 6)).filter("score > 0")
+    want = {(x["sid"], x["cid"]): x["score"] for x in B.top(joined, "sid", [F.desc("score"), F.asc("cid")], 10, "k").collect()}
+    assert got == pytest.approx(want) and len(got) > 100
+
+
+def test_vectors_of_odd_texts(spark):
+    """Empty, short and repeated words, characters outside the vocabulary or beyond ASCII, a country without a vocabulary."""
+    fitted = records(spark, [("S1-1", "aa b aa", "", "x"), ("S1-2", "aa b", "é", "x"), ("S1-3", "", "é é", "x")])
+    rows = fitted.unionByName(records(spark, [("S1-4", "aac  b", "", "x"), ("S1-5", "", "", "x"), ("S1-6", "aa", "", "y"), ("S1-7", "zz", "qé", "x")]))
+    vocab = vectors.vocabulary(fitted)
+    terms = {(v["field"], v["term"]): v for v in vocab.collect()}
+    want = {}
+    for x in vectors.gram_rows(rows).collect():
+        v = terms.get((x["field"], x["term"]))
+        if v and x["country_norm"] == "x":
+            want[x["entity_id"], x["field"], x["term"]] = (1 + math.log(x["tf"])) * (math.log((1 + v["n_docs"]) / (1 + v["df"])) + 1)
+    norm = Counter()
+    for (i, f, _), w in want.items():
+        norm[i, f] += w * w
+    got = {(x["entity_id"], x["field"], x["term"]): x["weight"] for x in vectors.tfidf(rows, vocab).collect()}
+    assert got == pytest.approx({k: w / math.sqrt(norm[k[:2]]) for k, w in want.items()}) and ("S1-7", "a", "é ") in got
+
+
+def test_shared_tokens_in_blocks(spark, sf_dir, monkeypatch):
+    """The token channel by small blocks, few pairs at a time; pairs that share a token don't leave a task."""
+    r = Records(spark, sf_dir)
+    found = lambda: {tuple(x) for x in B.token_candidates(r.s1, r.s23, 5).select("sid", "cid", "n_shared", "tok_rank").collect()}
+    whole = found()
+    monkeypatch.setattr(B, "ROWS_TOKENS", 9)
+    monkeypatch.setattr(B, "SHARED_ROWS", 3)
+    assert found() == whole and len(whole) > 100
+    lone = records(spark, [("S1-1", "zebra", "", "in")])
+    assert B.token_candidates(lone, records(spark, [("S2-1", "zebra", "", "in"), ("S2-2", "", "", "in")])).count() == 0  # no token of two records
