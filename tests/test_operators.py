@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from linkwright.functions import features as X
 from linkwright.functions import lexicon as L
 from linkwright.operators import blocking as B
 from linkwright.operators import metrics, model, pairs, resolve, vectors
@@ -234,3 +235,11 @@ def test_shared_tokens_in_blocks(spark, sf_dir, monkeypatch):
     assert found() == whole and len(whole) > 100
     lone = records(spark, [("S1-1", "zebra", "", "in")])
     assert B.token_candidates(lone, records(spark, [("S2-1", "zebra", "", "in"), ("S2-2", "", "", "in")])).count() == 0  # no token of two records
+
+
+def test_pairs_are_dealt_without_sets(spark, sf_dir):
+    """Sets of S23 records are made after the last shuffle of the pairs."""
+    r = Records(spark, sf_dir)
+    rows = X.paired(B.token_candidates(r.s1, r.s23).select("sid", "cid"), r.s1, r.s23).select("sid", "cid", "b_name_tokens", "b_addr_grams", "b_numbers")
+    last, *dealt = rows._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert len(dealt) >= 2 and "split(b_name_norm" in last and "split(b_name_norm" not in "".join(dealt)

@@ -68,3 +68,12 @@ def test_set_overlaps(spark):
 
 def test_token_set_cases():
     assert S.token_set_ratios(["a b", "", "a b", "x"], ["b a c", "a", "c d", "y"]) == pytest.approx([1, 0, 1 - (6 - 2) / 6, 0])
+
+
+def test_gram_jaccards_by_definition():
+    grams = lambda x: {x[i : i + 3] for i in range(len(x) - 2)} or ({x} - {""})
+    texts = ["", "a", "ab", "abc", "abcabc", "xabc", "é", "ab\0", "\0ab", "𝒳yz𝒳yz", "hello world", "world hello"]
+    pairs = [(x, y) for x in texts for y in texts]
+    want = [1.0 if not grams(x) and not grams(y) else len(grams(x) & grams(y)) / len(grams(x) | grams(y)) for x, y in pairs]
+    assert S.gram_jaccards(*map(list, zip(*pairs))).tolist() == want
+    assert S.gram_jaccards([], []).tolist() == []
