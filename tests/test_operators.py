@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -243,3 +244,54 @@ def test_pairs_are_dealt_without_sets(spark, sf_dir):
     rows = X.paired(B.token_candidates(r.s1, r.s23).select("sid", "cid"), r.s1, r.s23).select("sid", "cid", "b_name_tokens", "b_addr_grams", "b_numbers")
     last, *dealt = rows._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
     assert len(dealt) >= 2 and "split(b_name_norm" in last and "split(b_name_norm" not in "".join(dealt)
+
+
+@pytest.mark.parametrize("columns, scores", [(4096, 1 << 20), (16, 64), (7, 1)])
+def test_single_precision_only_chooses(monkeypatch, columns, scores):
+    """Scores that differ by less than single precision can tell are ordered in double precision, and pairs below least may go."""
+    monkeypatch.setattr(vectors, "COLUMNS", columns)
+    monkeypatch.setattr(vectors, "SCORE_CELLS", scores)
+    rng = np.random.default_rng(7)
+
+    def block(n):
+        x = rng.random((n, 30)) * (rng.random((n, 30)) < 0.6) + 1e-9
+        x[1::2] = np.abs(x[::2] + rng.normal(0, 1e-8, x[::2].shape))  # nearly equal neighbours
+        x /= np.sqrt((x * x).sum(axis=1))[:, None]
+        return x, (np.tile(np.arange(30), n), x.ravel(), np.arange(n + 1) * 30)
+
+    (a, left), (b, right) = block(20), block(60)
+    exact = np.round(a @ b.T, 6)
+    want = [(r, c, exact[r, c]) for r in range(20) for c in np.lexsort((np.arange(60), -exact[r]))[:9]]
+    for share in (1, 10**6):
+        monkeypatch.setattr(vectors, "DENSE_SHARE", share)
+        for least in (None, np.array([want[r * 9 + 8][2] for r in range(20)])):
+            got = list(zip(*(x.tolist() for x in vectors._best(20, left, vectors._Right(60, right, 30), 9, least))))
+            assert [x[:2] for x in got] == [x[:2] for x in want] and [x[2] for x in got] == pytest.approx([x[2] for x in want])
+
+
+def test_vocabulary_counts_in_the_task_that_makes_ngrams(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "ROWS_VECTORS", 3)
+    texts = ["", None, "a", "aa  aa", " b\u00e9b \U0001f600\U0001f600", "abcde abcde", "x" * 70, "aa aa"]
+    rows = records(spark, [(f"S1-{i}", t, texts[-i], "in" if i % 3 else "us") for i, t in enumerate(texts)] + [("S1-5", "abcde again", "aa", "in")])
+    found = vectors.vocabulary(rows, 1)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    want = vectors.gram_rows(rows).groupBy("country_norm", "field", "term").agg(F.count("*").alias("df"))
+    assert {(x.country_norm, x.field, x.term, x.df) for x in found.collect()} == {tuple(x) for x in want.collect()}
+    tf = {(x.country_norm, x.field, x.term): x.n for x in vectors.gram_rows(rows).groupBy("country_norm", "field", "term").agg(F.sum("tf").alias("n")).collect()}
+    first = lambda f: {x.term for x in vectors.vocabulary(rows, 1, 5).filter(f"field = '{f}' and country_norm = 'in'").collect()}
+    for f in "na":
+        assert first(f) == {t for _, t in sorted((-n, k[2]) for k, n in tf.items() if k[:2] == ("in", f))[:5]}
+
+
+@pytest.mark.parametrize("head", [1, 120, 256])
+def test_name_and_address_from_the_head(spark, tmp_path, monkeypatch, head):
+    """Texts whose first characters are mostly white space, or few."""
+    from linkwright.plans import records as R
+
+    assert R.HEAD >= 112
+    monkeypatch.setattr(R, "HEAD", head)
+    texts = [None, "", " " * 300 + "a b" + "\n" * 300 + "c" * 200, "ab " * 85 + " \t" * 90 + "end", "x" * 111, "x" * 111 + "  y", "x" * 112 + "\n\n" + "y" * 300]
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for x in R.er_records(spark, str(tmp_path)).collect():
+        flat = re.sub(r"\s+", " ", texts[x.row_pos] or "", flags=re.ASCII)
+        assert (x.business_name, x.business_address, x.body) == (flat[:48], flat[48:112], flat[112:])

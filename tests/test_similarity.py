@@ -1,5 +1,7 @@
 """Golden feature vector, and properties against slow definitions."""
 
+import random
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -77,3 +79,18 @@ def test_gram_jaccards_by_definition():
     want = [1.0 if not grams(x) and not grams(y) else len(grams(x) & grams(y)) / len(grams(x) | grams(y)) for x, y in pairs]
     assert S.gram_jaccards(*map(list, zip(*pairs))).tolist() == want
     assert S.gram_jaccards([], []).tolist() == []
+
+
+def test_ngram_overlaps_a_few_texts_at_a_time(monkeypatch):
+    """Few and many different characters, either side with fewer different texts, and tables of one text or several."""
+    rng = random.Random(4)
+    for alphabet in ("ab \u00e9\U0001f600", "".join(map(chr, range(200, 700)))):
+        texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(9))) for _ in range(40)]
+        a, b = [rng.choice(texts[:7]) for _ in range(300)], [rng.choice(texts) for _ in range(300)]
+        sets = lambda x: {x[i : i + 3] for i in range(max(1, len(x) - 2))} if x else set()
+        want = [len(sets(x) & sets(y)) / len(sets(x) | sets(y)) if x or y else 1.0 for x, y in zip(a, b)]
+        for cells in (1, 300, 1 << 22):
+            monkeypatch.setattr(S, "_CELLS", cells)
+            assert S.gram_jaccards(a, b).tolist() == pytest.approx(want) and S.gram_jaccards(b, a).tolist() == pytest.approx(want)
+    char = S._grams(["abc", "ab"])
+    assert len(char) == 4 and char[2].tolist() == [1, 1]
