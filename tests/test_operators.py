@@ -295,3 +295,16 @@ def test_name_and_address_from_the_head(spark, tmp_path, monkeypatch, head):
     for x in R.er_records(spark, str(tmp_path)).collect():
         flat = re.sub(r"\s+", " ", texts[x.row_pos] or "", flags=re.ASCII)
         assert (x.business_name, x.business_address, x.body) == (flat[:48], flat[48:112], flat[112:])
+
+
+def test_features_of_the_pairs_that_are_not_exact(spark):
+    """The model's pairs meet their texts once: no joins before those of their features."""
+    s1 = records(spark, [("S1-1", "zebra crossing", "1 main", "in"), ("S1-2", "", "1 main", "in")])
+    s23 = records(spark, [("S2-1", "zebra crossing", "1 main", "in"), ("S2-2", "zebra", "1 main", "in"), ("S2-3", "", "1 main", "in")])
+    cands = spark.createDataFrame([(s, c) for s in ("S1-1", "S1-2", "S1-9") for c in ("S2-1", "S2-2", "S2-3")], "sid string, cid string")
+    got = X.pair_features(cands, s1, s23, where=~X.exact())
+    rest = B.with_exact(cands, s1, s23).filter("not is_exact").select("sid", "cid")
+    assert {tuple(x) for x in got.collect()} == {tuple(x) for x in X.pair_features(rest, s1, s23).collect()}
+    assert {(x.sid, x.cid) for x in got.collect()} == {(s, c) for s in ("S1-1", "S1-2") for c in ("S2-1", "S2-2", "S2-3")} - {("S1-1", "S2-1")}
+    joins = lambda df: len(re.findall("Join", df._jdf.queryExecution().optimizedPlan().toString()))
+    assert joins(got) == joins(X.pair_features(cands, s1, s23)) < joins(X.pair_features(rest, s1, s23))
