@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .runtime import fresh_path, map_arrow, text_input, tidy, written
-from .textcore import NOT_SPACE, U, Block, blocks, run_hash, words
+from .textcore import NOT_SPACE, U, Block, blocks, bounds, constants, run_hash, splitmix
 
 END_ID = 1
 ROW_GROUP_BYTES = 32 << 20
@@ -41,12 +41,16 @@ MAX_BROADCAST_FILES = 50_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
-_LETTER[0x80:0xC0] = True  # continuation bytes, allowed after the leads below
-_LETTER[0xC3:0xC9] = True  # leads of U+00C0 to U+023F, all letters but U+00D7 and U+00F7; U+0130 isn't one when lower-cased
+_ODD = np.ones(256, bool)  # bytes that aren't of letters
+_ODD[[*range(65, 91), *range(97, 123)]] = False
+_ODD[0x80:0xC0] = False  # continuation bytes, allowed after the leads below
+_ODD[0xC3:0xC9] = False  # leads of U+00C0 to U+023F, all letters but U+00D7 and U+00F7; U+0130 isn't one when lower-cased
 _TRAIL = b".,;:!?"
 _CHUNK = 20_000
+#: Words of up to so many bytes are hashed eight bytes at a time.
+_SHORT = 64
+_STEP = constants(_SHORT // 8 + 1, 4)
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], U)
 
 
 def default_tokenizer() -> str:
@@ -158,26 +162,31 @@ class Encoder:
         return np.concatenate([np.zeros(0, np.int32), *parts]), np.cumsum(np.concatenate([[0], *sizes]))
 
     def _block(self, b: Block) -> tuple[np.ndarray, np.ndarray]:
-        w = words(b, NOT_SPACE)
-        start, end, n = w.start, w.end.copy(), len(w.start)
-        mark = np.zeros(n, np.int64)
-        plain = np.zeros(n, bool)
+        start, end, doc = bounds(b, NOT_SPACE)
+        mark = np.zeros(len(start), np.int64)
+        plain = np.zeros(len(start), bool)
         data = b.data
-        if n:
-            upto = lambda m: np.concatenate([[0], np.cumsum(m, dtype=np.int64)])
-            odd = ~_LETTER[data]
+        if len(start):
+            odd = _ODD[data]
             odd[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)) | (data[:-1] == 0xC4) & (data[1:] == 0xB0)
-            odd, special = upto(odd), upto(data == ord("<"))
-            last = data[end - 1]
-            cut = (self.marks[last] >= 0) & (end - start > 1) & (odd[end - 1] == odd[start])
+            odd = np.concatenate([[0], np.cumsum(odd, dtype=np.int64)])
+            special = np.flatnonzero(data == ord("<"))  # special tokens are matched before lower-casing
+            last, tail = data[end - 1], odd[end] - odd[start]
+            cut = (self.marks[last] >= 0) & (end - start > 1) & (tail == 1) & (odd[end - 1] == odd[start])
             mark[cut] = 1 + last[cut]
+            # letters and what follows them, if that is ASCII without letters, are two words that the rules part too
+            two = ~cut & (tail > 0) & (tail < end - start) & (odd[end] - odd[end - tail] == tail) & (data[end - np.maximum(tail, 1)] < 0x80)
             end[cut] -= 1
+            two[np.searchsorted(start, special, "right") - 1] = False
+            two = np.flatnonzero(two)
+            middle = (end - tail)[two]
+            start, end, mark, doc = np.insert(start, two + 1, middle), np.insert(end, two, middle), np.insert(mark, two + 1, 0), np.insert(doc, two + 1, doc[two])
             plain = odd[end] == odd[start]
-            raw = np.flatnonzero(special[end] > special[start])  # special tokens are matched before lower-casing
-            data = _LOWER[data]
-            for i in raw:
+            data = np.zeros(len(b.data) + 8, np.uint8)
+            data[:-8] = _LOWER[b.data]
+            for i in np.unique(np.searchsorted(start, special, "right") - 1):
                 data[start[i] : end[i]] = b.data[start[i] : end[i]]
-        h = run_hash(data, start, end)
+        n, h = len(start), _word_hash(data, start, end)
         known, first, inv = np.unique(h, return_index=True, return_inverse=True)
         if len(self.main[0]) + len(self.recent[0]) + len(known) > MAX_WORDS:
             self.forget()
@@ -190,16 +199,29 @@ class Encoder:
         # every word, the mark after it, and every text's end
         of = np.zeros(2 * n + b.rows, np.int64)
         size = np.zeros(2 * n + b.rows, np.int64)
-        here = 2 * np.arange(n) + w.doc
+        here = 2 * np.arange(n) + doc
         of[here], size[here] = place[inv], length[inv]
         of[here + 1], size[here + 1] = mark, mark > 0
-        ends = 2 * np.cumsum(w.counts(b.rows)) + np.arange(b.rows)
+        ends = 2 * np.cumsum(np.bincount(doc, minlength=b.rows)) + np.arange(b.rows)
         size[ends] = 1
         done = np.cumsum(size)
         ids = self.ids[np.repeat(of - (done - size), size) + np.arange(done[-1] if len(done) else 0)]
         return ids, np.diff(np.concatenate([[0], done[ends]]))
 
 
+def _word_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words of data, which has eight more bytes than they need: short ones eight bytes at a time."""
+    size = end - start
+    h = splitmix(size.astype(U) * _STEP[-1])
+    eight = np.ndarray((max(0, len(data) - 7),), "<u8", np.ascontiguousarray(data), 0, (1,))
+    for j in range(-(-min(int(size.max(initial=0)), _SHORT) // 8)):
+        at = np.flatnonzero((size > 8 * j) & (size <= _SHORT)) if j or len(size) and size.max() > _SHORT else slice(None)
+        h[at] = splitmix(h[at] ^ ((eight[start[at] + 8 * j] & _MASK[np.minimum(size[at] - 8 * j, 8)]) * _STEP[j]))
+    long = size > _SHORT
+    h[long] = run_hash(data, start[long], end[long])
+    return h
+
+
 def _in_order(a: tuple, b: tuple) -> tuple:
     both = [np.concatenate(x) for x in zip(a, b)]
     order = np.argsort(both[0], kind="stable")

@@ -617,6 +617,16 @@ def test_word_encoding_equals_the_library(library, texts):
     assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
 
 
+def test_words_before_marks_are_learnt_once(library):
+    """Letters and the ASCII marks after them are looked up apart; long words have hashes of their own."""
+    known = tokenbin.Encoder(tokenbin.default_tokenizer())
+    texts = ["ab$$$ cd$$$ ef$$$, ab CD ef<", "ab,12 a×... é!? é×$ " + "w" * 64 + " " + "w" * 65 + " " + "w" * 66, None]
+    ids, off = known.encode(pa.array(texts[:1]))
+    assert len(known.main[0]) + len(known.recent[0]) == 6  # ab, cd, ef, $$$, $$$, with a comma, and ef< whole
+    ids, off = known.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [[*library.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+
+
 def test_other_tokenizers(library):
     import public_tokenizers
 
