@@ -353,3 +353,10 @@ def test_exact_pairs_travel_without_texts(spark):
     got = B.with_exact(cands, s1, s23)
     assert {(r.sid, r.cid): r.is_exact for r in got.collect()} == {(s, c): a[s] == b[c] and "" not in a[s] for s in a for c in b}
     assert got.columns == ["cid", "sid", "rank", "is_exact"] and "_norm" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocks_of_a_country_are_few(spark):
+    """Every block of S1 takes a copy of the other side: a country has no more blocks than its work needs."""
+    side = lambda n: spark.range(n).select(F.lit("x").alias("country_norm"))
+    grid = lambda a, b: tuple(B.block_grid(side(a), side(b), 32_768, 131_072).select("n1", "n2").first())
+    assert grid(60_000, 120_000) == (8, 1) and grid(600_000, 400_000) == (19, 4) and grid(3000, 9000) == (2, 1)
