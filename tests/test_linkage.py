@@ -149,6 +149,22 @@ def test_queries_without_sql(spark, sf_dir, name, blocked, monkeypatch):
     assert catalog.QUERIES[name](spark, sf_dir).count() > 0
 
 
+@pytest.mark.parametrize("name", ["gbt_train_score", "feature_importance"])
+def test_models_are_fitted_on_all_candidates(spark, sf_dir, name, blocked, monkeypatch):
+    from linkwright.operators import model
+
+    fitted_on, train = [], model.train
+    monkeypatch.setattr(catalog, "_records", lambda *_: blocked[0])
+    monkeypatch.setattr(catalog, "_candidates", lambda _: blocked[1])
+    monkeypatch.setattr(model, "PARAMETERS", model.PARAMETERS | {"maxIter": 2, "maxDepth": 2})
+    monkeypatch.setattr(model, "train", lambda features, *a, **b: fitted_on.append((features, b)) or train(features, *a, **b))
+    catalog.QUERIES[name](spark, sf_dir)
+    (features, parameters), labelled = fitted_on[0], catalog.QUERIES["label_pairs"](spark, sf_dir)
+    every = lambda rows: sorted(map(tuple, rows.select("sid", "cid", "label").collect()))
+    assert every(features) == every(labelled) and len({r.label for r in labelled.collect()}) == 2
+    assert parameters.get("subsamplingRate", 1.0) == 1.0  # nor a part of them in a round
+
+
 def test_pair_features_agree_with_the_parts(spark, sf_dir):
     a = {(r.sid, r.cid): r for r in catalog.QUERIES["pair_features"](spark, sf_dir).collect()}
     b = {(r.sid, r.cid): r for r in catalog.QUERIES["edit_features"](spark, sf_dir).collect()}
