@@ -164,6 +164,54 @@ def test_rounds_after_the_best_are_cut_off(spark, tmp_path):
     assert p(again) == pytest.approx(p(kept)) and threshold == 0.7
 
 
+def test_models_without_bagging_use_all_rows(spark, tmp_path, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    monkeypatch.setattr(GBTClassifier, "_fit", None)  # Spark's own takes split points from some 10,000 rows
+    # two rows in 30,000 tell that a feature's value of 0.5 means label 1
+    rows = [(f"s{i}", f"c{i}", int(i < 50), *[0.5 if i // 2 == k and i < 50 else 0.0 for k in range(len(L.FEATURES))]) for i in range(30_000)]
+    schema = "sid string, cid string, label int, " + ", ".join(f"{f} float" for f in L.FEATURES)
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/rows")
+    table = spark.read.parquet(f"{tmp_path}/rows")
+    small = {"maxIter": 4, "maxDepth": 8, "minInstancesPerNode": 1, "featureSubsetStrategy": "1.0", "subsamplingRate": 1.0}
+    p = lambda m, t: {r.cid: r.p for r in model.predict(m, t).collect()}
+    other = table.repartition(7, "cid")
+    a, b = (model.train(t, **small) for t in (table, other))
+    assert a.getNumTrees == 4 and a.treeWeights == [1.0, 0.05, 0.05, 0.05]
+    got = p(a, table)
+    assert got == p(b, table)  # however rows are dealt
+    found = sum(got[f"c{i}"] > 0.5 for i in range(50))
+    assert found >= 16 and max(got[f"c{i}"] for i in range(50, 30_000)) <= min(got[f"c{i}"] for i in range(50))
+
+
+def test_models_without_bagging_agree_with_a_slow_definition(spark):
+    rng = random.Random(4)
+    rows = [(f"s{i}", f"c{i}", int(i % 3 == 0), *[rng.randrange(8) / 8 + (i % 3 == 0) * (k < 4) * 0.25 for k in range(len(L.FEATURES))]) for i in range(300)]
+    schema = "sid string, cid string, label int, " + ", ".join(f"{f} float" for f in L.FEATURES)
+    table = spark.createDataFrame(rows, schema)
+    fitted = model.train(table, maxIter=2, maxDepth=2, minInstancesPerNode=5, featureSubsetStrategy="1.0", stepSize=0.5, subsamplingRate=1.0)
+    weight = {1: 2.0, 0: 1.0}  # 200 to 100
+
+    def grow(rows, target, depth):
+        w = sum(weight[r[2]] for r in rows)
+        mean = sum(weight[r[2]] * target[r[1]] for r in rows) / w
+        best = None
+        for k in range(len(L.FEATURES)) if depth else ():
+            for v in sorted({r[3 + k] for r in rows})[:-1]:
+                sides = [[r for r in rows if r[3 + k] <= v], [r for r in rows if r[3 + k] > v]]
+                if min(map(len, sides)) >= 5:
+                    gain = sum(sum(weight[r[2]] * target[r[1]] for r in s) ** 2 / sum(weight[r[2]] for r in s) for s in sides)
+                    if best is None or gain > best[0] + 1e-9:
+                        best = gain, sides
+        return {r[1]: mean for r in rows} if best is None else {c: v for s in best[1] for c, v in grow(s, target, depth - 1).items()}
+
+    y = {r[1]: 2.0 * r[2] - 1 for r in rows}
+    first = grow(rows, y, 2)
+    second = grow(rows, {c: 4 * y[c] / (1 + math.exp(2 * y[c] * first[c])) for c in y}, 2)
+    got = {r.cid: r.p for r in model.predict(fitted, table).collect()}
+    assert got == pytest.approx({c: 1 / (1 + math.exp(-2 * (first[c] + 0.5 * second[c]))) for c in y}, abs=1e-4)
+
+
 def test_scan(spark, tmp_path):
     head = "\t".join(L.RECORD_COLUMNS)
     lines = [head, 'S2-1\t"A" x\tb, c\tUS', "S2-2\tshort", "S2-3\ta\tb\tc\textra", "", "S2-4\t\t\t", 'S2-5\t"open\tNA\tnull']
